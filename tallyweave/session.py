@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,12 +35,35 @@ def settle(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: `spark.checkpoint.dir`, or a local one where that is unset (tests)."""
+    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "tallyweave-checkpoints")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the shared checkpoint folder, so that losing an executor never loses it.
+    """`df` as a table written to the shared folder: its lineage ends there, so losing an executor never loses it.
 
-    The folder is `spark.checkpoint.dir` of the session; a local one is set only where that is unset (tests).
+    A table rather than checkpoint(): it is compressed and pruned by column, its size is known to the planner, and it
+    does not carry the constraints of the plan it came from, which make planning of iterative jobs ever slower. Tables
+    are removed when the driver ends.
     """
-    sc = df.sparkSession.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir") and not sc.getCheckpointDir():
-        sc.setCheckpointDir(os.path.join(tempfile.gettempdir(), "tallyweave-checkpoints"))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tallyweave-{os.getpid()}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _written:
+        atexit.register(_remove)
+    _written.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[tuple[SparkSession, str]] = []
+
+
+def _remove() -> None:
+    for spark, path in _written:
+        try:
+            jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+        except Exception:  # the JVM may be gone by now
+            return
