@@ -8,10 +8,12 @@
    and the changed ones rare, and a plain idf would push such copies below the threshold.
 3. Each text gets HASHES samples by ICWS. The random numbers of a (shingle, hash number) pair are taken from a table,
    and ln a of each (table entry, weight level) is computed beforehand, so that a sample costs one lookup. Weights
-   count in steps of 1/16 of their logarithm to base e, for sampling and verifying alike.
+   count in steps of 1/64 of their logarithm to base e, for sampling and verifying alike.
 4. ROWS samples make a band key. Texts that share a band key and are not yet of one class are candidates; equal texts
-   were merged before. First every text is held against the first of its bucket, then those that are left out against
-   all members of other classes. Pairs whose samples agree far too seldom (FLOOR) for the threshold are not verified.
+   were merged before. First every text is held against the first of its bucket, then STARS times against another
+   member that is still outside the first's class, and at last those that are left out against all members of other
+   classes. Pairs whose samples agree too seldom (FLOOR), or whose total weights differ too much, for the threshold are
+   not verified.
 5. Pairs are verified by exact weighted Jaccard similarity. Classes are the connected components of verified pairs.
 
 No group is collected in one task: buckets meet by sort-merge joins, which adaptive execution splits when skewed.
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.llm.textkernel import Words, chunked, mix, shingles
@@ -39,11 +41,13 @@ SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 14, 4
 HASHES = BANDS * ROWS
-IDF_SHARE = 0.25
-#: Share of equal samples below which a pair is not verified: five standard deviations under the threshold.
-FLOOR = THRESHOLD - 5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / HASHES)
+IDF_SHARE = 0.02
+#: Share of equal samples below which a pair is not verified: three standard deviations under the threshold.
+FLOOR = THRESHOLD - 3 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / HASHES)
+#: Rounds against single members before all that are left are compared.
+STARS = 3
 SKETCH_ROWS, SKETCH_BITS, BLOCK = 2, 18, 4096
-ENTRY_BITS, STEPS_PER_E, LEVELS = 13, 16, 96
+ENTRY_BITS, STEPS_PER_E, LEVELS = 13, 64, 192
 
 
 def doc_frequencies(docs: DataFrame, text: str, size: int) -> tuple[np.ndarray, int]:
@@ -133,6 +137,23 @@ def signature(found: np.ndarray, level: np.ndarray) -> np.ndarray:
     return out
 
 
+def packed_marks(samples: np.ndarray) -> np.ndarray:
+    """Four bits of each sample, sixteen samples to a long; places over HASHES are 0."""
+    nibbles = np.zeros(-(-HASHES // 16) * 16, dtype=np.uint64)
+    nibbles[:HASHES] = samples & np.uint64(15)
+    return (nibbles.reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def _differing(a: str, b: str) -> Column:
+    """How many samples' marks differ: fold each four bits into one and count."""
+    total = F.lit(0)
+    for k in range(-(-HASHES // 16)):
+        x = F.get(F.col(a), F.lit(k)).bitwiseXOR(F.get(F.col(b), F.lit(k)))
+        any_bit = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
+        total = total + F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two texts' (shingles, levels)."""
     wa, wb = LEVEL_WEIGHTS[a[1]], LEVEL_WEIGHTS[b[1]]
@@ -143,7 +164,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _signed(docs: DataFrame, key: str, text: str, shared) -> DataFrame:
-    """(id, same: digest of the text, bands, marks: one byte of each sample) of each row."""
+    """(id, same: digest of the text, bands, marks: four bits of each sample, total weight) of each row."""
     source = docs.select(F.col(key).cast("long").alias("id"), F.md5(F.col(text)).alias("same"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,71 +172,79 @@ def _signed(docs: DataFrame, key: str, text: str, shared) -> DataFrame:
         for batch in batches:
             for at, texts in chunked(batch.column(2).to_pylist()):
                 words = Words(texts)
-                bands, marks = [], []
+                bands, marks, totals = [], [], []
                 for a, b in zip(words.firsts[:-1], words.firsts[1:]):
                     if b == a:
                         bands.append(None)
                         marks.append(None)
+                        totals.append(None)
                         continue
-                    samples = signature(*weigher.levels(words.hashes[a:b]))
+                    found, level = weigher.levels(words.hashes[a:b])
+                    totals.append(LEVEL_WEIGHTS[level].sum())
+                    samples = signature(found, level)
                     keys = np.zeros(BANDS, dtype=np.uint64)
                     for r in range(ROWS):
                         keys = mix(keys + samples[r::ROWS])
                     bands.append(keys.view(np.int64))
-                    marks.append((samples & np.uint64(255)).astype(np.uint8).tobytes())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())], names=["id", "same", "bands", "marks"])
+                    marks.append(packed_marks(samples))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int64())), pa.array(totals, pa.float64())], names=["id", "same", "bands", "marks", "total"])
 
-    return source.mapInArrow(run, "id long, same string, bands array<long>, marks binary")
+    return source.mapInArrow(run, "id long, same string, bands array<long>, marks array<long>, total double")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, shared, threshold: float) -> DataFrame:
+def _verified(pairs: DataFrame, weighed: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of texts' digests whose weighted Jaccard similarity reaches the threshold."""
-    both = pairs.join(texts.select(F.col("same").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("same").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
+    side = lambda x: weighed.select(F.col("same").alias(x), F.col("found").alias(f"found_{x}"), F.col("level").alias(f"level_{x}"))
+    both = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").select("a", "b", "found_a", "level_a", "found_b", "level_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weigher = shared.value
-        last: tuple = ("", None)
         for batch in batches:
-            firsts, seconds = batch.column(0), batch.column(1)
             good = []
             for i in range(batch.num_rows):
-                a = firsts[i].as_py()
-                if a != last[0]:
-                    last = (a, weigher.levels(Words([batch.column(2)[i].as_py()]).hashes))
-                b = weigher.levels(Words([batch.column(3)[i].as_py()]).hashes)
-                good.append(similarity(last[1], b) >= threshold)
+                fa, la, fb, lb = (batch.column(k)[i].as_buffer() for k in (2, 3, 4, 5))
+                good.append(similarity((np.frombuffer(fa, np.uint64), np.frombuffer(la, np.uint8)), (np.frombuffer(fb, np.uint64), np.frombuffer(lb, np.uint8))) >= threshold)
             keep = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([firsts.filter(keep), seconds.filter(keep)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     return both.mapInArrow(run, "a string, b string")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, label) with the least node of each connected component, by joining stars until nothing changes.
+def _weighed(docs: DataFrame, text: str, wanted: DataFrame, shared) -> DataFrame:
+    """(same, found, level): distinct shingles and their weight levels of each text whose digest is in `wanted`."""
+    rows = docs.select(F.md5(F.col(text)).alias("same"), F.col(text).alias("text")).join(wanted, "same", "left_semi").dropDuplicates(["same"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in chunked(batch.column(1).to_pylist()):
+                words = Words(texts)
+                each = [shared.value.levels(words.hashes[a:b]) for a, b in zip(words.firsts[:-1], words.firsts[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array([f.tobytes() for f, _ in each], pa.binary()), pa.array([x.astype(np.uint8).tobytes() for _, x in each], pa.binary())], names=["same", "found", "level"])
+
+    return rows.mapInArrow(run, "same string, found binary, level binary")
 
-    `nodes` has a column `node`, `links` has `a` and `b`. Labels only ever fall to smaller ones; a round makes each node
-    and each label point to the least label in the neighbourhood, so depth halves and rounds grow as its logarithm.
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, label) of all nodes in `links` (a, b): the least node of each connected component.
+
+    Each round hooks every node to its least smaller neighbour, shortens the resulting trees to stars and contracts the
+    links to the stars' centres, which leaves at most half of the nodes; it ends when no link is left.
     """
     links = cut(links.select("a", "b").where("a <> b").distinct())
-    ends = cut(links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct())
-    labels = ends.select("node", F.col("node").alias("label"))
-    while True:
-        at_a = links.join(labels.withColumnRenamed("node", "a").withColumnRenamed("label", "la"), "a")
-        edges = at_a.join(labels.withColumnRenamed("node", "b").withColumnRenamed("label", "lb"), "b").where("la <> lb")
-        hooks = edges.select(F.greatest("la", "lb").alias("node"), F.least("la", "lb").alias("to")).groupBy("node").agg(F.min("to").alias("to"))
-        hooks = cut(hooks)
-        if hooks.isEmpty():
-            break
-        # hooks form a forest pointing to smaller labels: shorten it to stars
-        while True:
-            up = hooks.join(hooks.select(F.col("node").alias("to"), F.col("to").alias("further")), "to", "left")
-            short = cut(up.select("node", F.coalesce("further", "to").alias("to"), F.col("further").isNotNull().alias("moved")))
-            moved = short.where("moved").isEmpty()
-            hooks = short.select("node", "to")
-            if moved:
-                break
-        labels = cut(labels.join(hooks.withColumnRenamed("node", "label"), "label", "left").select("node", F.coalesce("to", "label").alias("label")))
-    return nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    labels = cut(links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct().select("node", F.col("node").alias("label")))
+    while not links.isEmpty():
+        stars = links.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("to")).groupBy("node").agg(F.min("to").alias("to"))
+        stars = cut(stars.withColumn("moved", F.lit(True)))
+        while not stars.where("moved").isEmpty():
+            up = stars.select(F.col("node").alias("to"), F.col("to").alias("further"))
+            stars = cut(stars.join(up, "to", "left").select("node", F.coalesce("further", "to").alias("to"), F.col("further").isNotNull().alias("moved")))
+        labels = cut(_renamed(labels, "label", stars))
+        links = cut(_renamed(_renamed(links, "a", stars), "b", stars).where("a <> b").distinct())
+    return labels
+
+
+def _renamed(rows: DataFrame, column: str, stars: DataFrame) -> DataFrame:
+    names = stars.select(F.col("node").alias(column), F.col("to").alias("__to"))
+    return rows.join(names, column, "left").withColumn(column, F.coalesce("__to", column)).select(*rows.columns)
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, threshold: float = THRESHOLD) -> DataFrame:
@@ -224,20 +253,24 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     sketch, n = doc_frequencies(docs, text, size)
     shared = spark.sparkContext.broadcast(Weigher(sketch, n, size))
     signed = cut(_signed(docs, key, text, shared))
-    merged = cut(signed.where("same is not null and bands is not null").groupBy("same").agg(F.first("bands").alias("bands"), F.first("marks").alias("marks")))
+    merged = cut(signed.where("same is not null and bands is not null").groupBy("same").agg(F.first("bands").alias("bands"), F.first("marks").alias("marks"), F.first("total").alias("total")))
 
     buckets = cut(_buckets(merged))
-    first = cut(_against_first(buckets))
-    texts = cut(_needed_texts(docs, text, first.select("a", "b")))
-    links = cut(_verified(first.select("a", "b").distinct(), texts, shared, threshold))
-    labels = cut(components(merged.select(F.col("same").alias("node")), links))
-
-    rest = cut(_across(buckets, first, merged, labels))
-    if not rest.isEmpty():
-        more = _verified(rest, cut(_needed_texts(docs, text, rest)), shared, threshold)
-        labels = components(merged.select(F.col("same").alias("node")), links.union(more))
+    weighed = cut(_weighed(docs, text, buckets.select("same").distinct(), shared))
+    # (same, label) of all texts in buckets
+    labels = cut(buckets.select("same", F.col("same").alias("label")).distinct())
+    tried = buckets.where("same <> first").select(F.col("first").alias("a"), F.col("same").alias("b"))
+    for turn in range(STARS + 2):
+        if turn:
+            tried = _left_out(buckets, labels, merged, threshold, turn if turn <= STARS else None)
+        pairs = cut(tried.distinct())
+        if pairs.isEmpty():
+            break
+        links = _verified(pairs, weighed, threshold)
+        by_label = links.join(labels.select(F.col("same").alias("a"), F.col("label").alias("la")), "a").join(labels.select(F.col("same").alias("b"), F.col("label").alias("lb")), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+        labels = cut(_renamed(labels, "label", components(by_label).select("node", F.col("label").alias("to"))))
 
-    named = signed.select("id", "same").join(labels.select(F.col("node").alias("same"), "label"), "same", "left")
+    named = signed.select("id", "same").join(labels, "same", "left")
     # null text: no digest, so the id itself keeps the rows apart
     named = cut(named.select("id", F.coalesce("label", "same", F.concat(F.lit("null "), F.coalesce(F.col("id").cast("string"), F.lit("")))).alias("label")))
     sizes = named.groupBy("label").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
@@ -251,32 +284,25 @@ def _buckets(merged: DataFrame) -> DataFrame:
     return rows.join(full, "bucket")
 
 
-def _against_first(buckets: DataFrame) -> DataFrame:
-    """Each member with the first of its bucket."""
-    return buckets.where("same <> first").select("bucket", F.col("first").alias("a"), F.col("same").alias("b"))
-
-
-def _across(buckets: DataFrame, first: DataFrame, merged: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidate pairs that step 1 has not settled: members of one bucket in different classes, neither the first.
+def _left_out(buckets: DataFrame, labels: DataFrame, merged: DataFrame, threshold: float, turn: int | None) -> DataFrame:
+    """Candidate pairs of members of one bucket in different classes.
 
-    Only members outside the first's class start a pair; a pair in several buckets counts in the first they share.
+    Members outside the class of the bucket's first start pairs: with a turn one of them, another each turn, otherwise
+    all. The share of equal samples and the ratio of total weights are looked at within the join.
     """
-    known = merged.join(labels.withColumnRenamed("node", "same"), "same").select("same", "label", "marks", "bands")
-    placed = buckets.join(labels.withColumnRenamed("node", "same"), "same").join(labels.select(F.col("node").alias("first"), F.col("label").alias("main")), "first")
-    mixed = placed.where("label <> main").select("bucket", F.col("same").alias("a"), F.col("label").alias("label_a"), "main")
-    few = mixed.select("bucket").distinct()
-    others = placed.where("same <> first").join(few, "bucket", "left_semi").select("bucket", F.col("same").alias("b"), F.col("label").alias("label_b"))
-    carried = known.select("same", "marks")
-    left = mixed.join(carried.withColumnRenamed("same", "a").withColumnRenamed("marks", "marks_a"), "a")
-    right = others.join(carried.withColumnRenamed("same", "b").withColumnRenamed("marks", "marks_b"), "b")
-    agree = "aggregate(sequence(1, %d), 0, (n, i) -> n + cast(substring(marks_a, i, 1) = substring(marks_b, i, 1) as int))" % HASHES
-    near = F.expr(f"{agree} >= {math.ceil(FLOOR * HASHES)}")
-    met = left.join(right, (left.bucket == right.bucket) & (F.col("label_a") != F.col("label_b")) & ((F.col("a") < F.col("b")) | (F.col("label_b") == F.col("main"))) & near)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _needed_texts(docs: DataFrame, text: str, pairs: DataFrame) -> DataFrame:
-    """One row (same, text) for each text that occurs in the pairs."""
-    wanted = pairs.select(F.col("a").alias("same")).union(pairs.select(F.col("b").alias("same"))).distinct()
-    rows = docs.select(F.md5(F.col(text)).alias("same"), F.col(text).alias("text")).join(wanted, "same", "left_semi")
-    return rows.groupBy("same").agg(F.first("text").alias("text"))
+    placed = buckets.join(labels, "same").join(labels.select(F.col("same").alias("first"), F.col("label").alias("main")), "first")
+    outside = placed.where("label <> main")
+    if turn is not None:
+        # one bucket of the same outsiders is enough
+        one = outside.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("same", F.lit(turn)), "same"))["same"].alias("same"))
+        outside = outside.join(one, ["bucket", "same"], "left_semi")
+    carried = merged.select("same", "marks", "total")
+    left = outside.select("bucket", F.col("same").alias("a"), F.col("label").alias("label_a"), "main").join(carried.toDF("a", "marks_a", "total_a"), "a")
+    members = placed.where("same <> first").join(outside.select("bucket").distinct(), "bucket", "left_semi")
+    right = members.select(F.col("bucket").alias("bucket_b"), F.col("same").alias("b"), F.col("label").alias("label_b")).join(carried.toDF("b", "marks_b", "total_b"), "b")
+    # marks of different samples agree by chance once in sixteen times
+    most = math.floor((1 - FLOOR) * 15 / 16 * HASHES)
+    near = (F.least("total_a", "total_b") >= threshold * F.greatest("total_a", "total_b")) & (_differing("marks_a", "marks_b") <= most)
+    once = F.lit(True) if turn is not None else (F.col("a") < F.col("b")) | (F.col("label_b") == F.col("main"))
+    met = left.join(right, (F.col("bucket") == F.col("bucket_b")) & (F.col("label_a") != F.col("label_b")) & once & near)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
