@@ -1,0 +1,157 @@
+"""Connectors: anything that can be loaded as a DataFrame can be ranged, paged, checksummed, sampled and pruned."""
+
+from __future__ import annotations
+
+from abc import ABC, abstractmethod
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallyweave.functions.predicates import id_limit
+from tallyweave.operators import reconcile
+
+
+class Connector(ABC):
+    """A table with an id column and the fields to compare. `load` is all that a connector must define."""
+
+    def __init__(self, spark: SparkSession, key: str, fields: list[str], extract_id: Callable[[Column], Column] | None = None):
+        self.spark, self.key, self.fields, self.extract_id = spark, key, fields, extract_id
+
+    @abstractmethod
+    def load(self) -> DataFrame: ...
+
+    def rows(self, ids: list | None = None, start=None, end=None) -> DataFrame:
+        key = self.extract_id(F.col(self.key)) if self.extract_id else F.col(self.key)
+        return self.load().where(id_limit(key, ids, start, end))
+
+    def initialize(self) -> dict:
+        return {}
+
+    def destroy(self) -> None:
+        return None
+
+    def batch(self, start=None, end=None) -> DataFrame:
+        return reconcile.batch(self.rows(None, start, end), self.key, self.fields)
+
+    def individual(self, start=None, end=None) -> DataFrame:
+        return reconcile.individual(self.rows(None, start, end), self.key, self.fields)
+
+    def range(self, start=None, end=None) -> DataFrame:
+        return reconcile.id_range(self.rows(None, start, end), self.key)
+
+    def nibble(self, limit: int, start=None, end=None, reverse: bool = False) -> DataFrame:
+        bound = lambda x: None if x is None else (x,)
+        return reconcile.nibble(self.load(), [self.key], limit, bound(start), bound(end), reverse)
+
+    def get_ids(self, start=None, end=None, reverse: bool = False) -> DataFrame:
+        return self.rows(None, start, end).select(self.key).orderBy(F.col(self.key).desc() if reverse else self.key)
+
+    def sample(self, ids: list) -> DataFrame:
+        return self.rows(ids).select(self.key, *[f for f in self.fields if f != self.key]).orderBy(self.key)
+
+    def delete(self, ids: DataFrame | None = None, **where) -> DataFrame:
+        """The table without these rows; the caller publishes it."""
+        return reconcile.delete_ids(self.load(), self.key, ids, **where)
+
+    def describe(self) -> T.StructType:
+        return self.load().schema
+
+    #: Names a request may ask for.
+    METHODS = ("batch", "individual", "range", "nibble", "sample", "delete", "initialize", "destroy")
+
+    def handle(self, method: str, **arguments):
+        if method not in self.METHODS:
+            raise ValueError("Invalid Method")
+        return getattr(self, method)(**arguments)
+
+
+class TableConnector(Connector):
+    """A DataFrame, or what makes one."""
+
+    def __init__(self, spark: SparkSession, table: DataFrame | Callable[[SparkSession], DataFrame], key: str, fields: list[str], **more):
+        super().__init__(spark, key, fields, **more)
+        self._table = table
+
+    def load(self) -> DataFrame:
+        return self._table(self.spark) if callable(self._table) else self._table
+
+
+class FileConnector(Connector):
+    """Files of any format Spark reads."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str, fields: list[str], fmt: str = "parquet", schema: T.StructType | None = None, **more):
+        super().__init__(spark, key, fields, **more)
+        self.path, self.fmt, self.schema = path, fmt, schema
+
+    def load(self) -> DataFrame:
+        reader = self.spark.read.format(self.fmt)
+        return (reader.schema(self.schema) if self.schema else reader).load(self.path)
+
+
+# JDBC drivers and URL forms of the databases.
+JDBC = {
+    "mysql": ("com.mysql.cj.jdbc.Driver", "jdbc:mysql://{host}:{port}/{database}"),
+    "postgres": ("org.postgresql.Driver", "jdbc:postgresql://{host}:{port}/{database}"),
+    "redshift": ("com.amazon.redshift.jdbc42.Driver", "jdbc:redshift://{host}:{port}/{database}"),
+    "sqlserver": ("com.microsoft.sqlserver.jdbc.SQLServerDriver", "jdbc:sqlserver://{host}:{port};databaseName={database}"),
+    "oracle": ("oracle.jdbc.OracleDriver", "jdbc:oracle:thin:@//{host}:{port}/{database}"),
+}
+
+
+class JdbcConnector(Connector):
+    """A query in a database. The driver's jar must be on the class path; credentials are passed in, never kept here.
+
+    With bounds the scan is split into ranges of the id column, one task each.
+    """
+
+    def __init__(self, spark: SparkSession, kind: str, host: str, port: int, database: str, query: str, key: str, fields: list[str], user: str = "", password: str = "", bounds: tuple[int, int] | None = None, partitions: int = 16, **more):
+        super().__init__(spark, key, fields, **more)
+        driver, url = JDBC[kind]
+        self.kind = kind
+        self.options = {"driver": driver, "url": url.format(host=host, port=port, database=database), "user": user, "password": password, "fetchsize": "10000"}
+        if bounds:
+            self.options |= {"dbtable": f"({query}) t", "partitionColumn": key, "lowerBound": str(bounds[0]), "upperBound": str(bounds[1]), "numPartitions": str(partitions)}
+        else:
+            self.options["query"] = query
+
+    def load(self) -> DataFrame:
+        rows = self.spark.read.format("jdbc").options(**self.options).load()
+        return rows.toDF(*[c.lower() for c in rows.columns]) if self.kind == "oracle" else rows
+
+    def write(self, df: DataFrame, table: str, mode: str = "append", batch: int = 10000) -> None:
+        keep = {k: v for k, v in self.options.items() if k in ("driver", "url", "user", "password")}
+        df.write.format("jdbc").options(**keep, dbtable=table, batchsize=str(batch)).mode(mode).save()
+
+
+class CustomConnector(Connector):
+    """Handlers of the caller's own by name; what is not given is derived from `load`."""
+
+    def __init__(self, spark: SparkSession, key: str, fields: list[str], load: Callable[[], DataFrame], **handlers: Callable):
+        super().__init__(spark, key, fields)
+        self._load = load
+        unknown = set(handlers) - set(self.METHODS)
+        if unknown:
+            raise ValueError(f"no such handlers: {sorted(unknown)}")
+        for name, handler in handlers.items():
+            setattr(self, name, handler)
+
+    def load(self) -> DataFrame:
+        return self._load()
+
+
+class MockConnector(Connector):
+    """Ids 1..n whose values are drawn from a seed, some of them wrong: for tests of callers."""
+
+    def __init__(self, spark: SparkSession, n: int, seed: int = 0, wrong_every: int = 0):
+        super().__init__(spark, "id", ["value"])
+        self.n, self.seed, self.wrong_every = n, seed, wrong_every
+
+    def load(self) -> DataFrame:
+        rows = self.spark.range(1, self.n + 1).withColumn("value", F.xxhash64("id", F.lit(self.seed)))
+        return rows.withColumn("value", F.when(F.col("id") % self.wrong_every == 0, -F.col("value")).otherwise(F.col("value"))) if self.wrong_every else rows
+
+
+def compare(master: Connector, slave: Connector) -> DataFrame:
+    return reconcile.classify(master.individual(), slave.individual())
