@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from tallyweave.plans import checks, feeds, measures, stars
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+for _module in (checks, stars, feeds, measures):
+    QUERIES |= _module.QUERIES
+    ORACLES |= _module.ORACLES
