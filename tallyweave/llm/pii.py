@@ -31,6 +31,8 @@ KEY = "change-me-per-corpus"
 #: Attempts after which a domain counts as used up.
 ATTEMPTS = 64
 ROUNDS = 8
+#: Texts with exceptions up to which these are sent to all tasks; more are joined by a shuffle.
+SENT_ROWS = 100_000
 
 # First names by script and gender.
 FIRST_NAMES = {
@@ -258,6 +260,9 @@ def replace(docs: DataFrame, text: str = "text", key: str = KEY, count: str | No
     if not again.isEmpty():
         # only texts with an exceptional entity; one row for each different text, with the few entities it has
         fixes = mentions.join(again, ["kind", "normal"]).groupBy("same").agg(F.map_from_entries(F.collect_set(F.struct(_named(F.col("kind"), F.col("normal")), "attempt"))).alias("__again"))
+        fixes = cut(fixes)
+        if fixes.count() <= SENT_ROWS:
+            fixes = F.broadcast(fixes)
         rows = rows.withColumn("__same", F.md5(F.col(text))).join(fixes.withColumnRenamed("same", "__same"), "__same", "left")
         attempts = lambda kind, normal: F.coalesce(F.col("__again")[_named(kind, normal)], F.lit(0))
 
