@@ -2,8 +2,8 @@
 
 Lexicon: words and word beginnings (at least PREFIX_LEAST letters, written `abc*`) that occur far more often in labelled
 toxic texts than in clean ones; a beginning must be that of several words. It is kept as a trie. A Levenshtein automaton of each text word is intersected with the trie: the
-automaton's state is the row of edit distances that are still within the bound, and a branch is left as soon as no
-distance is. Longer words may differ by more edits; look-alike characters (@ for a, 0 for o) are read as letters first.
+automaton's state is, for each number of edits within the bound, the set of places in the word reached with so many, and
+a branch is left as soon as all sets are empty. Longer words may differ by more edits; look-alike characters (@ for a, 0 for o) are read as letters first.
 Forms near a term that labelled clean texts use, and toxic ones do not, are exempt.
 
 Score: every hit counts its term's log-odds, less for each edit. Its context window then says how much of that holds:
@@ -19,7 +19,9 @@ is empty and every text scores the share of label 1 (0 with no labels). Repeated
 
 from __future__ import annotations
 
+import functools
 import math
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -35,11 +37,13 @@ from tallyweave.session import cut
 #: Bounds of the rows for the curve and of the terms looked at and kept.
 FIT_ROWS, CANDIDATES, TERMS = 12_000, 5_000, 1_000
 PREFIX_LEAST, PREFIX_MOST, WORD_LEAST, WORD_MOST = 3, 10, 3, 40
-#: A term needs this many occurrences in toxic texts, and this many times the rate of clean ones. A text counts for
-#: at most TEXT_MOST of them.
-LEAST_TOXIC, LEAST_RATIO, TEXT_MOST = 8, 9.0, 5
+#: A term needs this many occurrences in toxic texts, this many for each toxic text (so that the words of a few copied
+#: texts are none), and this many times the rate of clean ones. A text counts for at most TEXT_MOST of them.
+LEAST_TOXIC, LEAST_RATE, LEAST_RATIO, TEXT_MOST = 8, 0.02, 9.0, 5
 #: A beginning needs this many words in toxic texts, none with more than this share of its occurrences.
 PREFIX_WORDS, PREFIX_TOP = 4, 0.6
+#: Only terms with at least these log-odds, which clean texts hardly ever have, are looked for misspelled.
+FUZZY_LEAST = 4.5
 WINDOW = 6
 #: Of a quoted hit's weight this much stays abuse.
 QUOTED_SHARE = 0.15
@@ -65,6 +69,7 @@ def edits_allowed(length: int) -> int:
     return 0 if length < 5 else 1 if length < 9 else 2
 
 
+@functools.lru_cache(maxsize=KEPT_WORDS)
 def normal_form(token: str) -> str:
     """The letters of a token: lower case, outer punctuation off, look-alikes read as letters, other marks dropped."""
     low = unicodedata.normalize("NFC", token.lower())
@@ -86,6 +91,7 @@ class Trie:
 
     def __init__(self, terms: dict[str, float]):
         self.weights = terms
+        self._parts: dict = {}
         self.children: list[dict[str, int]] = [{}]
         self.whole: list[str | None] = [None]
         self.prefix: list[str | None] = [None]
@@ -100,6 +106,24 @@ class Trie:
                 node = self.children[node][ch]
             (self.prefix if term.endswith("*") else self.whole)[node] = term
 
+    def _may_be_near(self, word: str) -> bool:
+        """Whether the word has, unchanged, one of the parts of a term, of which edits can change all but one: a look at
+        the letters that spares most words the automaton and leaves none out that it would find."""
+        n = len(word)
+        if n not in self._parts:
+            edits, parts = edits_allowed(n), set()
+            for term in self.weights:
+                m = len(term)
+                if not term.endswith("*") and abs(m - n) <= edits and self.weights[term] >= FUZZY_LEAST:
+                    cuts = [m * k // (edits + 1) for k in range(edits + 2)]
+                    parts |= {term[i:j] for i, j in zip(cuts, cuts[1:])}
+            self._parts[n] = re.compile("|".join(map(re.escape, sorted(parts)))).search if parts else None
+        look = self._parts[n]
+        return look is not None and look(word) is not None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_parts": {}}
+
     def nearest(self, word: str) -> tuple[str, int] | None:
         """The term with the fewest edits from the word, of those the heaviest, or None within the bound.
 
@@ -113,21 +137,31 @@ class Trie:
                 break
             if self.prefix[node] is not None:
                 best = max(best or (0, -1.0, ""), (0, self.weights[self.prefix[node]], self.prefix[node]))
+        if node >= 0 and self.whole[node] is not None:
+            best = max(best or (0, -1.0, ""), (0, self.weights[self.whole[node]], self.whole[node]))
+        if not self._may_be_near(word):
+            return (best[2], 0) if best else None
         bound, n = edits_allowed(len(word)), len(word)
-        stack = [(0, tuple(i if i <= bound else bound + 1 for i in range(n + 1)))]
+        places: dict[str, int] = {}
+        for i, ch in enumerate(word):
+            places[ch] = places.get(ch, 0) | 1 << i
+        # the automaton's state: for each number of edits the set of places in the word, as bits, reached with so many
+        stack = [(0, [(2 << e) - 1 for e in range(bound + 1)])]
+        done, full = 1 << n, (2 << n) - 1
         while stack:
-            node, row = stack.pop()
-            if self.whole[node] is not None and row[n] <= bound:
-                best = max(best or (-99, 0.0, ""), (-row[n], self.weights[self.whole[node]], self.whole[node]))
+            node, reached = stack.pop()
+            if self.whole[node] is not None:
+                edits = next((e for e in range(bound + 1) if reached[e] & done), None)
+                if edits is not None and (not edits or self.weights[self.whole[node]] >= FUZZY_LEAST):
+                    best = max(best or (-99, 0.0, ""), (-edits, self.weights[self.whole[node]], self.whole[node]))
             for ch, to in self.children[node].items():
-                left = min(row[0] + 1, bound + 1)
-                new, alive = [left], left <= bound
-                for i in range(1, n + 1):
-                    left = min(left + 1, row[i] + 1, row[i - 1] + (word[i - 1] != ch), bound + 1)
-                    new.append(left)
-                    alive = alive or left <= bound
-                if alive:
-                    stack.append((to, tuple(new)))
+                same = places.get(ch, 0)
+                new = [(reached[0] & same) << 1]
+                for e in range(1, bound + 1):
+                    # the same letter, another one, one more in the term, one more in the word
+                    new.append(((reached[e] & same) << 1 | reached[e - 1] << 1 | reached[e - 1] | new[e - 1] << 1) & full)
+                if new[bound]:
+                    stack.append((to, new))
         return (best[2], -best[0]) if best else None
 
 
@@ -249,7 +283,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     starts = each.groupBy("start").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count_if(F.col("toxic") > 0).alias("words"), F.max("toxic").alias("top"))
     starts = starts.where((F.col("words") >= PREFIX_WORDS) & (F.col("top") <= PREFIX_TOP * F.col("toxic"))).select(F.concat("start", F.lit("*")).alias("term"), "toxic", "clean")
     ratio = (F.col("toxic") / F.lit(toxic)) / ((F.col("clean") + 0.5) / F.lit(clean))
-    terms = words.select(F.col("word").alias("term"), "toxic", "clean").union(starts).where(F.col("toxic") >= LEAST_TOXIC).withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO)
+    terms = words.select(F.col("word").alias("term"), "toxic", "clean").union(starts).where(F.col("toxic") >= max(LEAST_TOXIC, LEAST_RATE * toxic)).withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO)
     picked = _pick([(r["term"], r["toxic"], r["ratio"]) for r in terms.orderBy(F.desc("toxic"), "term").limit(CANDIDATES).collect()])
     trie = Trie(picked)
     chosen = marked.orderBy(F.xxhash64("__key"), "__key", "__label").limit(fit_rows)
