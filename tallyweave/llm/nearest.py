@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 TREES, BITS, SEED = 24, 48, 7
 BLOCK_ROWS, QUERY_ROWS = 8192, 4096
-#: Different rows to look at, as a part of the block. Half is what data without close neighbours need for nine tenths
+#: Different rows to look at, as a part of the block. This is what data without close neighbours need for nine tenths
 #: of the true ones; data with close ones do with far less.
-SHARE = 0.55
+SHARE = 0.7
 
 
 def usable(vector: Column) -> Column:

@@ -10,8 +10,8 @@ Score: every hit counts its term's log-odds, less for each edit. Its context win
 hits inside quotation marks, or near a reporting or defining word, count as quotation; other hits in the window add to
 each other. A logistic curve over the summed abuse and quotation, fitted to the labels, gives the score.
 
-Learning reads all labelled rows for the lexicon, and at most FIT_ROWS of them, those with the least hash of their id,
-for the curve. Scoring reads whole texts.
+Lexicon and curve are learned from at most FIT_ROWS labelled rows, those with the least hash of their id: a bounded
+number of ids can be sent to the texts, which then need no shuffle. Scoring reads whole texts.
 
 Null or empty text scores as a text without hits. Null labels are left out. Without labels of both classes the lexicon
 is empty and every text scores the share of label 1 (0 with no labels). Repeated rows give repeated scores.
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from tallyweave.llm.textkernel import Tokens, chunked
 from tallyweave.session import cut
 
-#: Bounds of the rows for the curve and of the terms looked at and kept.
-FIT_ROWS, CANDIDATES, TERMS = 12_000, 5_000, 1_000
+#: Bounds of the labelled rows to learn from and of the terms looked at and kept.
+FIT_ROWS, CANDIDATES, TERMS = 20_000, 5_000, 1_000
 PREFIX_LEAST, PREFIX_MOST, WORD_LEAST, WORD_MOST = 3, 10, 3, 40
 #: A term needs this many occurrences in toxic texts, this many for each toxic text (so that the words of a few copied
 #: texts are none), and this many times the rate of clean ones. A text counts for at most TEXT_MOST of them.
@@ -260,8 +260,9 @@ def _words(text: str) -> Counter:
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", text: str = "text", fit_rows: int = FIT_ROWS) -> Model:
     """Lexicon and curve from the labelled rows."""
     marked = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label"))
-    rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).join(marked, "__key").select("__key", "__label", "__text")
-    sizes = {r["__label"]: r["n"] for r in marked.groupBy("__label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen = cut(marked.orderBy(F.xxhash64("__key"), "__key", "__label").limit(fit_rows))
+    rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__key").select("__key", "__label", "__text")
+    sizes = {r["__label"]: r["n"] for r in chosen.groupBy("__label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         share = float(toxic > 0)
@@ -286,9 +287,6 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     terms = words.select(F.col("word").alias("term"), "toxic", "clean").union(starts).where(F.col("toxic") >= max(LEAST_TOXIC, LEAST_RATE * toxic)).withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO)
     picked = _pick([(r["term"], r["toxic"], r["ratio"]) for r in terms.orderBy(F.desc("toxic"), "term").limit(CANDIDATES).collect()])
     trie = Trie(picked)
-    chosen = marked.orderBy(F.xxhash64("__key"), "__key", "__label").limit(fit_rows)
-    sample = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__key").select("__key", "__label", "__text")
-
     # forms near a term that clean texts use: a word of its own, not a misspelling
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,7 +309,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
                 sums = shared.value.sums(texts)
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), part.column(1), pa.array([x for x, _ in sums], pa.float64()), pa.array([x for _, x in sums], pa.float64())], names=["id", "label", "abuse", "quotation"])
 
-    points = sorted(map(tuple, sample.mapInArrow(summed, "id long, label int, abuse double, quotation double").collect()))
+    points = sorted(map(tuple, rows.mapInArrow(summed, "id long, label int, abuse double, quotation double").collect()))
     model.curve = _fit_curve(points)
     return model
 

@@ -1,0 +1,211 @@
+"""The operators against brute force, round trips and held-out rows, and the awkward inputs each must bear."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tallyweave.llm import audio, bpe, langid, lengths, mixing, neardup, nearest, pii, quality, registry, toxicity
+from tallyweave.llm.textkernel import Words
+
+SF = "/root/testdata/sf0.001"
+WORDS = [a + b for a in "ba be bi bo bu da de di do du ka ke ki ko ku la le li lo lu".split() for b in "nar ten mis gol dur".split()]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string"
+
+
+def awkward(spark):
+    """Nulls, empty, spaces, repeated rows and ids, a very long text, clashing column names."""
+    rows = [(1, None, None, None, None, "x"), (2, "", "en", "a", 0, None), (3, " \n ", "en", "a", 3, ""), (4, "same text here", "en", "b", 14, "q"), (4, "same text here", "en", "b", 14, "q"), (5, "same text here", None, "b", 14, "q"), (None, "no id", "fr", None, 5, "q"), (6, "word " * 50_000, "en", "a", 250_000, "z")]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_bpe_equals_the_library_and_round_trips(spark):
+    mine, theirs = bpe.encoder(registry.TOKENIZER), Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(5)
+    names = sorted(theirs.get_vocab())
+    texts = ["", "Hello  Worlds' it's 123 ü ñandú!!! İstanbul <|endoftext|> x<|startoftext|>y 😀 ΑΣ", "don't we'll 'sthe <|endoftext|><| end|>"]
+    texts += ["".join(rng.choice(names).replace("</w>", "") for _ in range(5)) for _ in range(500)]
+    texts += [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(100).collect()]
+    for text in texts:
+        ids = theirs.encode(text, add_special_tokens=False).ids
+        assert mine.encode(text).tolist() == ids
+        assert mine.decode(np.array(ids, dtype=np.int64)).decode() == theirs.decode(ids, skip_special_tokens=False)
+    got = bpe.encode(awkward(spark), registry.TOKENIZER, ["doc_id", "id"], want=("n_tokens", "ids"))
+    assert got.count() == 8 and got.where("n_tokens <> size(ids)").isEmpty()
+    assert bpe.encode(none(spark), registry.TOKENIZER, ["doc_id"]).isEmpty()
+
+
+def near_copies(rng):
+    base = [rng.choice(WORDS) for _ in range(300)]
+    texts = [" ".join(rng.choice(WORDS) for _ in range(rng.randrange(3, 200))) for _ in range(60)]
+    for edits in (0, 0, 1, 1, 2, 3, 4, 6, 10, 25):
+        for _ in range(4):
+            copy = list(base)
+            for _ in range(edits):
+                copy[rng.randrange(len(copy))] = rng.choice(WORDS)
+            texts.append(" ".join(copy))
+    return texts
+
+
+def test_near_duplicates_equal_all_pairs(spark):
+    texts = near_copies(random.Random(2))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.id: r.class_id for r in neardup.classes(docs).collect()}
+    sketch, n = neardup.doc_frequencies(docs, "text", 5)
+    weigher = neardup.Weigher(sketch, n, 5)
+    weighed = [weigher.levels(Words([t]).hashes) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if neardup.similarity(weighed[i], weighed[j]) >= 0.8:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    assert [found[i] for i in range(len(texts))] == label
+
+
+def test_near_duplicates_of_awkward_rows(spark):
+    got = sorted((r.id or 0, r.class_id or 0, r.class_size) for r in neardup.classes(awkward(spark)).collect())
+    assert got == [(0, 0, 1), (1, 1, 1), (2, 2, 1), (3, 3, 1), (4, 4, 3), (4, 4, 3), (5, 4, 3), (6, 6, 1)]
+    assert neardup.classes(none(spark)).isEmpty()
+
+
+def test_language_on_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = registry.op3_language(spark, "/root/testdata/sf0.01").where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    assert got.where("lang = lang_pred").count() >= 0.97 * got.count()
+    model = langid.learn(awkward(spark))
+    rows = {(r.doc_id, r.lang_pred) for r in langid.identify(awkward(spark), model, ["doc_id"]).collect()}
+    assert {(1, "und"), (2, "und"), (3, "und")} <= rows
+    assert langid.learn(none(spark)).predict(np.array([97]))[0] == "und"
+
+
+def test_surrogates(spark):
+    text = "Mr John Smith (+1 (212) 555-0142, 212-555-0142), card 4111 1111 1111 1111 or 4111111111111111, A@B.COM a@b.com, Анна Иванова at 192.168.1.1, token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\"."
+    row = pii.replace(spark.createDataFrame([(1, text), (2, "John Smith"), (3, "No names, 12 things.")], "doc_id int, text string")).orderBy("doc_id").collect()
+    new = row[0].text
+    for old in ("John", "Smith", "4111", "0142", "B.COM", "b.com", "Иванова", "192.168", "04dbebab"):
+        assert old not in new
+    assert row[0].n_entities == 10 and row[1].text in new and row[2].text == "No names, 12 things."
+    digits = [d for d in new.replace(" ", "") if d.isdigit()]
+    assert len(digits) >= 50
+    assert pii.replace(awkward(spark)).count() == 8 and pii.replace(none(spark)).isEmpty()
+    assert pii.replace(awkward(spark)).columns == [*awkward(spark).columns, "n_entities"]
+
+
+def test_surrogates_stay_distinct(spark):
+    rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.format_string("call +1 (%03d) 555-%04d or 4%015d", F.col("id"), F.col("id"), F.col("id")).alias("text"))
+    got = pii.replace(rows)
+    assert got.select(F.regexp_extract("text", r"\+1 \S+ \S+", 0).alias("x")).distinct().count() == 1000
+    assert got.select(F.regexp_extract("text", r"[0-9]{16}", 0).alias("x")).distinct().count() == 1000
+
+
+def test_mix(spark):
+    got = registry.op5_mix(spark, "/root/testdata/sf0.01").collect()
+    assert all(r.taken <= 2 * r.size for r in got)
+    assert sorted(got) == sorted(registry.op5_mix(spark, "/root/testdata/sf0.01").collect())
+    assert abs(sum(r.taken for r in got) - 1.5 * sum(r.size for r in got)) < 0.02 * sum(r.size for r in got)
+    mix = mixing.Mix(awkward(spark))
+    assert mix.table().count() == 8 and mix.taken(awkward(spark)).columns == awkward(spark).columns
+    assert mixing.Mix(none(spark)).table().isEmpty()
+
+
+def test_fingerprints_align_shifted_recordings(spark):
+    rng = np.random.default_rng(1)
+    sound = np.concatenate([np.sin(2 * np.pi * f * np.arange(2048) / 8000) for f in rng.choice([220, 262, 330, 392, 440, 523, 660], 40)])
+    raw = lambda x: bytes(((x * 0.9 + 1) * 127).astype(np.uint8))
+    rows = [(100, raw(sound)), (1, raw(sound[audio.HOP * 40 :])), (2, raw(sound)), (3, raw(rng.uniform(-1, 1, 40_000))), (4, None), (5, b"")]
+    got = audio.align(spark.createDataFrame(rows, "id long, pcm binary"), F.col("id") == 100, "id", F.col("pcm")).collect()
+    assert {(r.recording_id, r.place) for r in got} == {(1, -40), (2, 0)}
+
+
+def test_quality_on_held_out_rows(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = registry.op7_quality(spark, "/root/testdata/sf0.01").where("held_out").join(labels, "doc_id")
+    assert got.where("predicted = quality").count() >= 0.9 * got.count()
+    model = quality.learn(awkward(spark), labels.limit(0))
+    assert quality.scored(awkward(spark), model, ["doc_id", "id"]).where("score <> 0.5").isEmpty()
+
+
+def test_lengths_equal_plain_sums(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    sizes = [r.n_tokens for r in bpe.encode(docs, registry.TOKENIZER, [], want=("n_tokens",)).collect()]
+    for r in registry.op8_token_counts(spark, SF).collect():
+        assert (r.docs, r.docs_from, r.tokens_from, r.truncated_total) == (sizes.count(r.n_tokens), sum(x >= r.n_tokens for x in sizes), sum(x for x in sizes if x >= r.n_tokens), sum(min(x, r.n_tokens) for x in sizes))
+    cut = {r.context_limit: r for r in lengths.at_limits(registry.op8_token_counts(spark, SF), [10, 512]).collect()}
+    assert cut[512].docs_over == sum(x > 512 for x in sizes) and cut[512].tokens_cut == sum(max(0, x - 512) for x in sizes)
+
+
+def test_neighbours_recall(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = {r.vec_id: np.array(r.embedding, dtype=np.float64) for r in table.collect()}
+    ids = np.array(sorted(rows))
+    matrix = np.stack([rows[i] for i in ids])
+    hit = total = 0
+    got: dict = {}
+    for r in nearest.search(table, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+        assert abs(r.score - rows[r.query_id] @ rows[r.vec_id]) < 1e-12
+    for q, found in got.items():
+        score = matrix @ rows[q]
+        score[ids == q] = -9
+        truth = set(ids[np.argsort(-score)[:20]].tolist())
+        hit, total = hit + len(found & truth), total + 20
+        assert len(found) == 20
+    assert hit >= 0.9 * total
+    bad = spark.createDataFrame([(20, [1.0, 0.0]), (1, [float("nan"), 1.0]), (2, None), (3, [0.0, 0.0]), (4, [None, 1.0]), (5, [0.5, 0.5]), (6, [0.5, 0.5])], "vec_id long, embedding array<float>")
+    assert [(r.rank, r.vec_id) for r in nearest.search(bad, F.col("vec_id") % 20 == 0).orderBy("rank").collect()] == [(1, 5), (2, 6)]
+
+
+def test_automaton_equals_edit_distance():
+    trie = toxicity.Trie({w: 8.0 for w in "trash worthless idiot pathetic disgusting moron scum".split()})
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    rng = random.Random(3)
+    for _ in range(2000):
+        word = list(rng.choice(list(trie.weights)))
+        for _ in range(rng.randrange(4)):
+            word.insert(rng.randrange(len(word) + 1), rng.choice("abstrhoi")) if rng.random() < 0.5 else word.pop(rng.randrange(len(word)))
+        word = "".join(word)
+        least = min(distance(word, w) for w in trie.weights)
+        got = trie.nearest(word)
+        assert (got[1] if got else None) == (least if least <= toxicity.edits_allowed(len(word)) else None)
+
+
+def test_toxicity_in_context():
+    model = toxicity.Model({"idiot": 8.0, "moron": 8.0}, set(), (-4.0, 3.0, 0.0))
+    score = lambda text: model.curve_score(model.sums([text])[0])
+    assert score("you are an idiot") > 0.9 and score("you are an 1d1ot") > 0.8 and score("you are an idiiot!") > 0.8
+    assert score('the paper printed "idiot" in a headline') < score("the paper printed idiot in a headline")
+    assert score("the word idiot has a long history") < 0.5 and score("") < 0.1
+
+
+def test_toxicity_of_awkward_rows(spark):
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.learn(awkward(spark), labels)
+    assert toxicity.scored(awkward(spark), model, ["doc_id", "id"]).where("score > 0.01").isEmpty()
+
+
+@pytest.mark.parametrize("make", [awkward, none])
+def test_pipeline_stages_bear_awkward_rows(spark, make, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = make(spark)
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        out.count()
