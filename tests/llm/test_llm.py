@@ -209,3 +209,11 @@ def test_pipeline_stages_bear_awkward_rows(spark, make, tmp_path):
         out = stage(spark, docs, str(tmp_path))
         assert out.columns == docs.columns
         out.count()
+
+
+def test_components_are_the_same_in_both_ways(spark, monkeypatch):
+    rng = random.Random(4)
+    links = spark.createDataFrame([(f"{rng.randrange(300):03d}", f"{rng.randrange(300):03d}") for _ in range(220)], "a string, b string")
+    few = sorted(neardup.components(links).collect())
+    monkeypatch.setattr(neardup, "FEW_LINKS", -1)
+    assert sorted(neardup.components(links).collect()) == few
