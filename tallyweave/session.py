@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -35,6 +36,19 @@ def settle(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, for Python functions that run there, unless this application has it already."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "tallyweave"), "zip", root, "tallyweave")
+        spark.sparkContext.addPyFile(path)
+        _shipped.add(app)
+
+
+_shipped: set[str] = set()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: `spark.checkpoint.dir`, or a local one where that is unset (tests)."""
     return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "tallyweave-checkpoints")
