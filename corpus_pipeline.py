@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.llm import bpe, mixing, neardup, pii, quality, registry
-from tallyweave.session import cut
+from tallyweave.session import cut, ship
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts (score of 0.7 or more)."""
+    ship(spark)
     model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.scored(docs, model, docs.columns).where("score >= 0.7").select(*docs.columns)
 
