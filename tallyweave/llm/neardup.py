@@ -10,10 +10,12 @@
    and ln a of each (table entry, weight level) is computed beforehand, so that a sample costs one lookup. Weights
    count in steps of 1/64 of their logarithm to base e, for sampling and verifying alike.
 4. ROWS samples make a band key. Texts that share a band key and are not yet of one class are candidates; equal texts
-   were merged before. First every text is held against the first of its bucket, then STARS times against another
-   member that is still outside the first's class, and at last those that are left out against all members of other
-   classes. Pairs whose samples agree too seldom (FLOOR), or whose total weights differ too much, for the threshold are
-   not verified.
+   were merged before. FIRSTS times every text is held against the first of one of its buckets, then against those of
+   all buckets where it is still of another class; STARS times one member outside the first's class is held against its
+   bucket, and at last all that are left out against all members of other classes. Buckets of one class are done and
+   leave. Pairs whose samples agree too seldom (FLOOR) for the threshold are not verified, nor are pairs for which total
+   weights and bitmaps of shingles prove a similarity below it: a bit that only one text has stands for at least one
+   shingle that only this text has, and a shingle weighs 1 or more.
 5. Pairs are verified by exact weighted Jaccard similarity. Classes are the connected components of verified pairs.
 
 No group is collected in one task: buckets meet by sort-merge joins, which adaptive execution splits when skewed.
@@ -44,10 +46,12 @@ HASHES = BANDS * ROWS
 IDF_SHARE = 0.02
 #: Share of equal samples below which a pair is not verified: three standard deviations under the threshold.
 FLOOR = THRESHOLD - 3 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / HASHES)
-#: Rounds against single members before all that are left are compared.
-STARS = 2
+#: Rounds of each text against the first of one bucket, and of one outsider against its bucket, before all that are left.
+FIRSTS, STARS = 2, 2
 #: Links that one task may finish: some 30 MB.
 FEW_LINKS = 200_000
+#: Longs of a text's bitmap of shingles.
+BITMAP = 16
 SKETCH_ROWS, SKETCH_BITS, BLOCK = 2, 18, 4096
 ENTRY_BITS, STEPS_PER_E, LEVELS = 13, 64, 192
 
@@ -146,6 +150,13 @@ def packed_marks(samples: np.ndarray) -> np.ndarray:
     return (nibbles.reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
+def bitmap(found: np.ndarray) -> np.ndarray:
+    """BITMAP longs with a bit for each shingle; shingles may share one."""
+    bits = np.zeros(BITMAP * 64, dtype=np.uint8)
+    bits[(found >> np.uint64(20)).astype(np.int64) % len(bits)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _differing(a: str, b: str) -> Column:
     """How many samples' marks differ: fold each four bits into one and count."""
     total = F.lit(0)
@@ -212,7 +223,7 @@ def _verified(pairs: DataFrame, weighed: DataFrame, threshold: float) -> DataFra
 
 
 def _weighed(docs: DataFrame, text: str, wanted: DataFrame, shared) -> DataFrame:
-    """(same, found, level): distinct shingles and their weight levels of each text whose digest is in `wanted`."""
+    """(same, found, level, bits): distinct shingles, their weight levels and bitmap of each text in `wanted`."""
     rows = docs.select(F.md5(F.col(text)).alias("same"), F.col(text).alias("text")).join(wanted, "same", "left_semi").dropDuplicates(["same"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,9 +231,9 @@ def _weighed(docs: DataFrame, text: str, wanted: DataFrame, shared) -> DataFrame
             for at, texts in chunked(batch.column(1).to_pylist()):
                 words = Words(texts)
                 each = [shared.value.levels(words.hashes[a:b]) for a, b in zip(words.firsts[:-1], words.firsts[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array([f.tobytes() for f, _ in each], pa.binary()), pa.array([x.astype(np.uint8).tobytes() for _, x in each], pa.binary())], names=["same", "found", "level"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array([f.tobytes() for f, _ in each], pa.binary()), pa.array([x.astype(np.uint8).tobytes() for _, x in each], pa.binary()), pa.array([bitmap(f) for f, _ in each], pa.list_(pa.int64()))], names=["same", "found", "level", "bits"])
 
-    return rows.mapInArrow(run, "same string, found binary, level binary")
+    return rows.mapInArrow(run, "same string, found binary, level binary, bits array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -281,17 +292,24 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     signed = cut(_signed(docs, key, text, shared))
     merged = cut(signed.where("same is not null and bands is not null").groupBy("same").agg(F.first("bands").alias("bands"), F.first("marks").alias("marks"), F.first("total").alias("total")))
 
-    buckets = cut(_buckets(merged))
-    weighed = cut(_weighed(docs, text, buckets.select("same").distinct(), shared))
+    live = cut(_buckets(merged))
+    weighed = cut(_weighed(docs, text, live.select("same").distinct(), shared))
+    ones = sum((F.bit_count(F.get("bits", F.lit(k))) for k in range(BITMAP)), F.lit(0))
+    # spare: weight beyond 1 for each bit
+    carried = cut(merged.select("same", "marks", "total").join(weighed.select("same", "bits"), "same").withColumn("spare", F.col("total") - ones))
     # (same, label) of all texts in buckets
-    labels = cut(buckets.select("same", F.col("same").alias("label")).distinct())
-    tried = buckets.where("same <> first").select(F.col("first").alias("a"), F.col("same").alias("b"))
-    for turn in range(STARS + 2):
-        if turn:
-            tried = _left_out(buckets, labels, merged, threshold, turn if turn <= STARS else None)
+    labels = cut(live.select("same", F.col("same").alias("label")).distinct())
+    for turn in range(FIRSTS + STARS + 2):
+        live = cut(_unsettled(live, labels))
+        if live.isEmpty():
+            break
+        if turn <= FIRSTS:
+            tried = _with_firsts(live, carried, threshold, turn if turn < FIRSTS else None)
+        else:
+            tried = _left_out(live, carried, threshold, turn if turn <= FIRSTS + STARS else None)
         pairs = cut(tried.distinct())
         if pairs.isEmpty():
-            break
+            continue
         links = _verified(pairs, weighed, threshold)
         by_label = links.join(labels.select(F.col("same").alias("a"), F.col("label").alias("la")), "a").join(labels.select(F.col("same").alias("b"), F.col("label").alias("lb")), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
         labels = cut(_renamed(labels, "label", components(by_label).select("node", F.col("label").alias("to"))))
@@ -306,29 +324,54 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
 def _buckets(merged: DataFrame) -> DataFrame:
     """(bucket, same) for buckets of at least two different texts."""
     rows = merged.select("same", F.posexplode("bands").alias("band", "key")).select(F.xxhash64("band", "key").alias("bucket"), "same")
-    full = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("same").alias("first")).where("n > 1").drop("n")
-    return rows.join(full, "bucket")
+    full = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return rows.join(full, "bucket", "left_semi")
+
 
+def _unsettled(live: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, same, label, first, main) of buckets with several classes: first is the least member, main its class."""
+    placed = live.select("bucket", "same").join(labels, "same")
+    several = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("same", "label")).alias("head")).where("low <> high")
+    return placed.join(several.select("bucket", F.col("head.same").alias("first"), F.col("head.label").alias("main")), "bucket").select("bucket", "same", "label", "first", "main")
 
-def _left_out(buckets: DataFrame, labels: DataFrame, merged: DataFrame, threshold: float, turn: int | None) -> DataFrame:
+
+def _near(threshold: float) -> Column:
+    """Whether marks, total weights and bitmaps of a and b leave the threshold within reach."""
+    # marks of different samples agree by chance once in sixteen times
+    most = math.floor((1 - FLOOR) * 15 / 16 * HASHES)
+    both = sum((F.bit_count(F.get("bits_a", F.lit(k)).bitwiseAND(F.get("bits_b", F.lit(k)))) for k in range(BITMAP)), F.lit(0))
+    # at most this much weight is common (every term stands once: join conditions are not shared out); 1e-9 is for rounding
+    common = (F.least("spare_a", "spare_b") + both) * (1 + 1e-9)
+    return (F.least("total_a", "total_b") >= threshold * F.greatest("total_a", "total_b")) & (common * (1 + threshold) >= threshold * (F.col("total_a") + F.col("total_b"))) & (_differing("marks_a", "marks_b") <= most)
+
+
+def _with_firsts(live: DataFrame, carried: DataFrame, threshold: float, turn: int | None) -> DataFrame:
+    """Each text outside its bucket's main class and the bucket's first; with a turn, of one bucket for each text."""
+    outside = live.where("label <> main").select(F.col("first").alias("a"), F.col("same").alias("b"))
+    if turn is None:
+        outside = outside.distinct()
+    else:
+        # large buckets tend to have low firsts: they come at the first turn
+        order = F.struct("a") if turn == 0 else F.struct(F.xxhash64("a", F.lit(turn)), "a")
+        outside = outside.groupBy("b").agg(F.min(order)["a"].alias("a"))
+    met = outside.join(carried.toDF("a", "marks_a", "total_a", "bits_a", "spare_a"), "a").join(carried.toDF("b", "marks_b", "total_b", "bits_b", "spare_b"), "b")
+    return met.where(_near(threshold)).select("a", "b")
+
+
+def _left_out(live: DataFrame, carried: DataFrame, threshold: float, turn: int | None) -> DataFrame:
     """Candidate pairs of members of one bucket in different classes.
 
     Members outside the class of the bucket's first start pairs: with a turn one of them, another each turn, otherwise
     all. The share of equal samples and the ratio of total weights are looked at within the join.
     """
-    placed = buckets.join(labels, "same").join(labels.select(F.col("same").alias("first"), F.col("label").alias("main")), "first")
-    outside = placed.where("label <> main")
+    outside = live.where("label <> main")
     if turn is not None:
         # one bucket of the same outsiders is enough
         one = outside.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("same", F.lit(turn)), "same"))["same"].alias("same"))
         outside = outside.join(one, ["bucket", "same"], "left_semi")
-    carried = merged.select("same", "marks", "total")
-    left = outside.select("bucket", F.col("same").alias("a"), F.col("label").alias("label_a"), "main").join(carried.toDF("a", "marks_a", "total_a"), "a")
-    members = placed.where("same <> first").join(outside.select("bucket").distinct(), "bucket", "left_semi")
-    right = members.select(F.col("bucket").alias("bucket_b"), F.col("same").alias("b"), F.col("label").alias("label_b")).join(carried.toDF("b", "marks_b", "total_b"), "b")
-    # marks of different samples agree by chance once in sixteen times
-    most = math.floor((1 - FLOOR) * 15 / 16 * HASHES)
-    near = (F.least("total_a", "total_b") >= threshold * F.greatest("total_a", "total_b")) & (_differing("marks_a", "marks_b") <= most)
+    left = outside.select("bucket", F.col("same").alias("a"), F.col("label").alias("label_a"), "main").join(carried.toDF("a", "marks_a", "total_a", "bits_a", "spare_a"), "a")
+    members = live.where("same <> first")
+    right = members.select(F.col("bucket").alias("bucket_b"), F.col("same").alias("b"), F.col("label").alias("label_b")).join(carried.toDF("b", "marks_b", "total_b", "bits_b", "spare_b"), "b")
     once = F.lit(True) if turn is not None else (F.col("a") < F.col("b")) | (F.col("label_b") == F.col("main"))
-    met = left.join(right, (F.col("bucket") == F.col("bucket_b")) & (F.col("label_a") != F.col("label_b")) & once & near)
+    met = left.join(right, (F.col("bucket") == F.col("bucket_b")) & (F.col("label_a") != F.col("label_b")) & once & _near(threshold))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

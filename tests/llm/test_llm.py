@@ -217,3 +217,19 @@ def test_components_are_the_same_in_both_ways(spark, monkeypatch):
     few = sorted(neardup.components(links).collect())
     monkeypatch.setattr(neardup, "FEW_LINKS", -1)
     assert sorted(neardup.components(links).collect()) == few
+
+
+def test_bitmap_bound_never_hides_a_near_pair():
+    """Weight less the bits that only one text has is at least the common weight, for short and long texts."""
+    rng = np.random.default_rng(3)
+    for size in (1, 5, 150, 3000):
+        for shared in (0.0, 0.5, 0.9, 1.0):
+            a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[: int(len(a) * shared)], rng.integers(0, 1 << 63, size, dtype=np.uint64)]))
+            la, lb = rng.integers(0, 40, len(a)), rng.integers(0, 40, len(b))
+            ones = lambda x: int(np.bitwise_count(x.view(np.uint64)).sum())
+            ba, bb = neardup.bitmap(a), neardup.bitmap(b)
+            wa, wb = neardup.LEVEL_WEIGHTS[la].sum(), neardup.LEVEL_WEIGHTS[lb].sum()
+            most = min(wa - ones(ba), wb - ones(bb)) + ones(ba & bb)
+            _, ia, ib = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+            assert np.minimum(neardup.LEVEL_WEIGHTS[la][ia], neardup.LEVEL_WEIGHTS[lb][ib]).sum() <= most + 1e-6
