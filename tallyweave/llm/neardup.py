@@ -6,16 +6,16 @@
 2. A shingle weighs (1 + ln tf) * idf with idf = 1 + IDF_SHARE * ln(N / df) / ln N, so that between 1 and
    1 + IDF_SHARE. The share is small on purpose: inside a large group of near copies the common shingles are frequent
    and the changed ones rare, and a plain idf would push such copies below the threshold.
-3. Each text gets HASHES samples by ICWS. The random numbers of a (shingle, hash number) pair are taken from a table,
+3. Each text gets HASHES samples by ICWS (more for low thresholds). The random numbers of a (shingle, hash number) pair are taken from a table,
    and ln a of each (table entry, weight level) is computed beforehand, so that a sample costs one lookup. Weights
    count in steps of 1/64 of their logarithm to base e, for sampling and verifying alike.
-4. ROWS samples make a band key. Texts that share a band key and are not yet of one class are candidates; equal texts
+4. Several samples (four at 0.8) make a band key. Texts that share a band key and are not yet of one class are candidates; equal texts
    were merged before. FIRSTS times every text is held against the first of one of its buckets, then against those of
    all buckets where it is still of another class; STARS times one member outside the first's class is held against its
    bucket, and at last all that are left out against all members of other classes. Buckets of one class are done and
-   leave. Pairs whose samples agree too seldom (FLOOR) for the threshold are not verified, nor are pairs for which total
-   weights and bitmaps of shingles prove a similarity below it: a bit that only one text has stands for at least one
-   shingle that only this text has, and a shingle weighs 1 or more.
+   leave. Not verified are only pairs for which total weights and bitmaps of shingles prove a similarity below the
+   threshold: a bit that only one text has stands for at least one shingle that only this text has, and a shingle weighs
+   1 or more. Banding is thus the one step that can miss a pair; bands and rows follow from the threshold (`banding`).
 5. Pairs are verified by exact weighted Jaccard similarity. Classes are the connected components of verified pairs.
 
 No group is collected in one task: buckets meet by sort-merge joins, which adaptive execution splits when skewed.
@@ -41,11 +41,10 @@ from tallyweave.session import cut
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 14, 4
-HASHES = BANDS * ROWS
+HASHES = 56
+#: Most pairs at the threshold that may share no band, as a share.
+MISSED = 1e-3
 IDF_SHARE = 0.02
-#: Share of equal samples below which a pair is not verified: three standard deviations under the threshold.
-FLOOR = THRESHOLD - 3 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / HASHES)
 #: Rounds of each text against the first of one bucket, and of one outsider against its bucket, before all that are left.
 FIRSTS, STARS = 2, 2
 #: Links that one task may finish: some 30 MB.
@@ -117,8 +116,18 @@ class Weigher:
 LEVEL_WEIGHTS = np.exp(np.arange(LEVELS) / STEPS_PER_E)
 
 
-@functools.lru_cache(maxsize=1)
-def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def banding(threshold: float) -> tuple[int, int]:
+    """(bands, rows): as many rows as HASHES samples allow with MISSED kept; more bands of one row for low thresholds."""
+    if not 0 < threshold <= 1:
+        raise ValueError("a threshold over 0 and up to 1 is needed")
+    for rows in range(HASHES, 0, -1):
+        if (1 - threshold**rows) ** (HASHES // rows) <= MISSED:
+            return HASHES // rows, rows
+    return math.ceil(math.log(MISSED) / math.log1p(-threshold)), 1
+
+
+@functools.lru_cache(maxsize=4)
+def tables(hashes: int = HASHES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """ln a and t of each (weight level, entry) and the odd multipliers that pick an entry for each hash number."""
     rng = np.random.Generator(np.random.PCG64(20240229))
     n = 1 << ENTRY_BITS
@@ -126,30 +135,23 @@ def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     log_s = np.arange(LEVELS)[:, None] / STEPS_PER_E
     t = np.floor(log_s / r + beta)
     log_a = np.log(c) - r * (t - beta) - r
-    odd = rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    odd = rng.integers(0, 1 << 63, hashes, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     return log_a.astype(np.float32).ravel(), t.astype(np.int64).ravel(), odd
 
 
-def signature(found: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """HASHES samples, each a hash of the sampled shingle and its t; ties go to the least shingle."""
-    log_a, t, odd = tables()
+def signature(found: np.ndarray, level: np.ndarray, hashes: int = HASHES) -> np.ndarray:
+    """As many samples, each a hash of the sampled shingle and its t; ties go to the least shingle."""
+    log_a, t, odd = tables(hashes)
     base = level << ENTRY_BITS
-    out = np.empty(HASHES, dtype=np.uint64)
+    out = np.empty(hashes, dtype=np.uint64)
     step = max(1, (1 << 17) // len(found))
-    for k in range(0, HASHES, step):
+    for k in range(0, hashes, step):
         entry = ((found[None, :] * odd[k : k + step, None]) >> np.uint64(64 - ENTRY_BITS)).astype(np.int64) + base[None, :]
         best = log_a[entry].argmin(axis=1)
         out[k : k + step] = mix(found[best] + mix(t[entry[np.arange(len(best)), best]].astype(np.uint64)))
     return out
 
 
-def packed_marks(samples: np.ndarray) -> np.ndarray:
-    """Four bits of each sample, sixteen samples to a long; places over HASHES are 0."""
-    nibbles = np.zeros(-(-HASHES // 16) * 16, dtype=np.uint64)
-    nibbles[:HASHES] = samples & np.uint64(15)
-    return (nibbles.reshape(-1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).view(np.int64)
-
-
 def bitmap(found: np.ndarray) -> np.ndarray:
     """BITMAP longs with a bit for each shingle; shingles may share one."""
     bits = np.zeros(BITMAP * 64, dtype=np.uint8)
@@ -157,16 +159,6 @@ def bitmap(found: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def _differing(a: str, b: str) -> Column:
-    """How many samples' marks differ: fold each four bits into one and count."""
-    total = F.lit(0)
-    for k in range(-(-HASHES // 16)):
-        x = F.get(F.col(a), F.lit(k)).bitwiseXOR(F.get(F.col(b), F.lit(k)))
-        any_bit = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
-        total = total + F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
-    return total
-
-
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two texts' (shingles, levels)."""
     wa, wb = LEVEL_WEIGHTS[a[1]], LEVEL_WEIGHTS[b[1]]
@@ -176,8 +168,9 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(both / total) if total else 0.0
 
 
-def _signed(docs: DataFrame, key: str, text: str, shared) -> DataFrame:
-    """(id, same: digest of the text, bands, marks: four bits of each sample, total weight) of each row."""
+def _signed(docs: DataFrame, key: str, text: str, shared, threshold: float) -> DataFrame:
+    """(id, same: digest of the text, bands, total weight) of each row."""
+    n_bands, n_rows = banding(threshold)
     source = docs.select(F.col(key).cast("long").alias("id"), F.md5(F.col(text)).alias("same"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,24 +178,22 @@ def _signed(docs: DataFrame, key: str, text: str, shared) -> DataFrame:
         for batch in batches:
             for at, texts in chunked(batch.column(2).to_pylist()):
                 words = Words(texts)
-                bands, marks, totals = [], [], []
+                bands, totals = [], []
                 for a, b in zip(words.firsts[:-1], words.firsts[1:]):
                     if b == a:
                         bands.append(None)
-                        marks.append(None)
                         totals.append(None)
                         continue
                     found, level = weigher.levels(words.hashes[a:b])
                     totals.append(LEVEL_WEIGHTS[level].sum())
-                    samples = signature(found, level)
-                    keys = np.zeros(BANDS, dtype=np.uint64)
-                    for r in range(ROWS):
-                        keys = mix(keys + samples[r::ROWS])
+                    samples = signature(found, level, n_bands * n_rows)
+                    keys = np.zeros(n_bands, dtype=np.uint64)
+                    for r in range(n_rows):
+                        keys = mix(keys + samples[r::n_rows])
                     bands.append(keys.view(np.int64))
-                    marks.append(packed_marks(samples))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int64())), pa.array(totals, pa.float64())], names=["id", "same", "bands", "marks", "total"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)), pa.array(bands, pa.list_(pa.int64())), pa.array(totals, pa.float64())], names=["id", "same", "bands", "total"])
 
-    return source.mapInArrow(run, "id long, same string, bands array<long>, marks array<long>, total double")
+    return source.mapInArrow(run, "id long, same string, bands array<long>, total double")
 
 
 def _verified(pairs: DataFrame, weighed: DataFrame, threshold: float) -> DataFrame:
@@ -289,14 +280,14 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     spark = docs.sparkSession
     sketch, n = doc_frequencies(docs, text, size)
     shared = spark.sparkContext.broadcast(Weigher(sketch, n, size))
-    signed = cut(_signed(docs, key, text, shared))
-    merged = cut(signed.where("same is not null and bands is not null").groupBy("same").agg(F.first("bands").alias("bands"), F.first("marks").alias("marks"), F.first("total").alias("total")))
+    signed = cut(_signed(docs, key, text, shared, threshold))
+    merged = cut(signed.where("same is not null and bands is not null").groupBy("same").agg(F.first("bands").alias("bands"), F.first("total").alias("total")))
 
     live = cut(_buckets(merged))
     weighed = cut(_weighed(docs, text, live.select("same").distinct(), shared))
     ones = sum((F.bit_count(F.get("bits", F.lit(k))) for k in range(BITMAP)), F.lit(0))
     # spare: weight beyond 1 for each bit
-    carried = cut(merged.select("same", "marks", "total").join(weighed.select("same", "bits"), "same").withColumn("spare", F.col("total") - ones))
+    carried = cut(merged.select("same", "total").join(weighed.select("same", "bits"), "same").withColumn("spare", F.col("total") - ones))
     # (same, label) of all texts in buckets
     labels = cut(live.select("same", F.col("same").alias("label")).distinct())
     for turn in range(FIRSTS + STARS + 2):
@@ -336,13 +327,11 @@ def _unsettled(live: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _near(threshold: float) -> Column:
-    """Whether marks, total weights and bitmaps of a and b leave the threshold within reach."""
-    # marks of different samples agree by chance once in sixteen times
-    most = math.floor((1 - FLOOR) * 15 / 16 * HASHES)
+    """Whether total weights and bitmaps of a and b leave the threshold within reach: no pair that reaches it is left out."""
     both = sum((F.bit_count(F.get("bits_a", F.lit(k)).bitwiseAND(F.get("bits_b", F.lit(k)))) for k in range(BITMAP)), F.lit(0))
     # at most this much weight is common (every term stands once: join conditions are not shared out); 1e-9 is for rounding
     common = (F.least("spare_a", "spare_b") + both) * (1 + 1e-9)
-    return (F.least("total_a", "total_b") >= threshold * F.greatest("total_a", "total_b")) & (common * (1 + threshold) >= threshold * (F.col("total_a") + F.col("total_b"))) & (_differing("marks_a", "marks_b") <= most)
+    return (F.least("total_a", "total_b") >= threshold * F.greatest("total_a", "total_b")) & (common * (1 + threshold) >= threshold * (F.col("total_a") + F.col("total_b")))
 
 
 def _with_firsts(live: DataFrame, carried: DataFrame, threshold: float, turn: int | None) -> DataFrame:
@@ -354,7 +343,7 @@ def _with_firsts(live: DataFrame, carried: DataFrame, threshold: float, turn: in
         # large buckets tend to have low firsts: they come at the first turn
         order = F.struct("a") if turn == 0 else F.struct(F.xxhash64("a", F.lit(turn)), "a")
         outside = outside.groupBy("b").agg(F.min(order)["a"].alias("a"))
-    met = outside.join(carried.toDF("a", "marks_a", "total_a", "bits_a", "spare_a"), "a").join(carried.toDF("b", "marks_b", "total_b", "bits_b", "spare_b"), "b")
+    met = outside.join(carried.toDF("a", "total_a", "bits_a", "spare_a"), "a").join(carried.toDF("b", "total_b", "bits_b", "spare_b"), "b")
     return met.where(_near(threshold)).select("a", "b")
 
 
@@ -362,16 +351,16 @@ def _left_out(live: DataFrame, carried: DataFrame, threshold: float, turn: int |
     """Candidate pairs of members of one bucket in different classes.
 
     Members outside the class of the bucket's first start pairs: with a turn one of them, another each turn, otherwise
-    all. The share of equal samples and the ratio of total weights are looked at within the join.
+    all. Total weights and bitmaps are looked at within the join.
     """
     outside = live.where("label <> main")
     if turn is not None:
         # one bucket of the same outsiders is enough
         one = outside.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("same", F.lit(turn)), "same"))["same"].alias("same"))
         outside = outside.join(one, ["bucket", "same"], "left_semi")
-    left = outside.select("bucket", F.col("same").alias("a"), F.col("label").alias("label_a"), "main").join(carried.toDF("a", "marks_a", "total_a", "bits_a", "spare_a"), "a")
+    left = outside.select("bucket", F.col("same").alias("a"), F.col("label").alias("label_a"), "main").join(carried.toDF("a", "total_a", "bits_a", "spare_a"), "a")
     members = live.where("same <> first")
-    right = members.select(F.col("bucket").alias("bucket_b"), F.col("same").alias("b"), F.col("label").alias("label_b")).join(carried.toDF("b", "marks_b", "total_b", "bits_b", "spare_b"), "b")
+    right = members.select(F.col("bucket").alias("bucket_b"), F.col("same").alias("b"), F.col("label").alias("label_b")).join(carried.toDF("b", "total_b", "bits_b", "spare_b"), "b")
     once = F.lit(True) if turn is not None else (F.col("a") < F.col("b")) | (F.col("label_b") == F.col("main"))
     met = left.join(right, (F.col("bucket") == F.col("bucket_b")) & (F.col("label_a") != F.col("label_b")) & once & _near(threshold))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
