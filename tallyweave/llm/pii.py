@@ -46,18 +46,32 @@ SYLLABLES = {
     "latin": ("Al Bar Cal Dor El Far Gar Hal Ker Lam Mar Nor Or Pel Ros Tal".split(), "an be ca do en fi go in la mo ne or pa ri so ta".split(), "berg dale field ford land ley man mont ner rick ser son stein ton ver well".split()),
     "cyrillic": ("Ба Ве Го До Же За Ка Ла Ма Не По Ро Са Та Фе Ша".split(), "ба ва го до ла ли ма на ни по ра ри са та хо ша".split(), "ев ин ков лов нов ров сов тов".split()),
 }
+#: Phone numbers: +1 and ten digits, E.164 after + or 00 in any grouping, grouped by three, three and four, and those of
+#: France, of Germany and Britain (trunk 0), and of Spain.
+PHONES = (
+    r"\+1(?:[ .()/-]{0,2}[0-9]){10}",
+    r"(?:\+(?!1)|(?<![0-9.,+-])00)[1-9](?:[ .()/-]{0,2}[0-9]){7,14}",
+    r"(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?|(?<![0-9(])\([0-9]{3}\)|(?<![0-9.+-])[0-9]{3}(?=[.-]))[ .-]?[0-9]{3}[ .-][0-9]{4}",
+    r"(?<![0-9.,+-])[2-9][0-9]{2} [2-9][0-9]{2}[ .-][0-9]{4}",
+    r"(?<![0-9.,+-])0[1-9](?:[ .-]?[0-9]{2}){4}",
+    r"(?<![0-9.,+-])(?=(?:[ ()/-]{0,2}[0-9]){8})\(?0[1-9][0-9]{1,4}\)?[ /-]{1,2}[0-9]{2,8}(?:[ -][0-9]{2,5}){0,3}",
+    r"(?<![0-9.,+-])(?:[679][0-9]{2} [0-9]{3} [0-9]{3}|[6-9][0-9]{2}(?:[ .-][0-9]{2}){3})",
+)
 PREFIXES = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "secret": r"(?<![0-9A-Za-z])(?=[0-9]*[A-Fa-f])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])",
-    "phone": r"(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?|(?<![0-9(])\([0-9]{3}\)|(?<![0-9.+-])[0-9]{3}(?=[.-]))[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "phone": rf"(?:{'|'.join(PHONES)})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9])|(?<![0-9])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?!\.?[0-9])",
 }
 _NAMES = [n for names in FIRST_NAMES.values() for n in names]
 #: The look at the first letter comes first: it is what most places fail on.
-NAME = rf"(?=[{''.join(sorted({n[0] for n in _NAMES}))}])(?<![\p{{L}}\p{{N}}])(?:{'|'.join(_NAMES)}) \p{{Lu}}\p{{Ll}}{{2,}}(?:-\p{{Lu}}\p{{Ll}}{{2,}})?(?![\p{{L}}\p{{N}}])"
+_SURNAME = r"(?:\p{Lu}['’])?\p{Lu}\p{Ll}+(?:['’]?\p{Lu}\p{Ll}+)*"
+NAME = rf"(?=[{''.join(sorted({n[0] for n in _NAMES}))}])(?<![\p{{L}}\p{{N}}])(?:{'|'.join(_NAMES)}) {_SURNAME}(?:-{_SURNAME})?(?![\p{{L}}\p{{N}}])"
+#: Country code after + or 00, or a trunk 0.
+COUNTRY = r"^(?:(?:\+|00)(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})|0)"
 #: All other kinds begin with one of these and have a digit or an @.
 PATTERN = rf"(?=[\p{{L}}\p{{N}}+(])(?:{'|'.join(PREFIXES.values())})|{NAME}"
 MARKED = "[0-9@]"
@@ -84,14 +98,14 @@ def _kind(e: Column) -> Column:
         .when(e.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), "ip")
         .when(e.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
         .when(~e.rlike("[0-9]"), "name")
-        .when((F.length(digits) >= 15) & ~e.startswith("+"), "card")
+        .when((F.length(digits) >= 15) & ~e.startswith("+") & ~e.startswith("00"), "card")
         .otherwise("phone")
     )
 
 
 def _normal(kind: Column, e: Column) -> Column:
     """What mentions of one entity have in common."""
-    return F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(e, "[^0-9]", "")).when(kind == "name", F.regexp_replace(e, " +", " ")).when(kind == "iban", F.regexp_replace(e, " ", "")).otherwise(F.lower(e))
+    return F.when(kind == "phone", F.regexp_replace(e, "[^0-9+]", "")).when(kind.isin("card", "ssn"), F.regexp_replace(e, "[^0-9]", "")).when(kind == "name", F.regexp_replace(F.regexp_replace(e, " +", " "), "’", "'")).when(kind == "iban", F.regexp_replace(e, " ", "")).otherwise(F.lower(e))
 
 
 def _hash(key: str, *parts: Column) -> Column:
@@ -141,12 +155,16 @@ def _pick(items: list[str], number: Column) -> Column:
 
 
 def _phone(key: str, normal: Column, attempt: Column) -> Column:
-    """Digits before the last ten are the country's; a 555 exchange stays one for the first attempts."""
-    n = F.length(normal)
-    code, rest = F.substr(normal, F.lit(1), n - 10), F.substr(normal, n - 9, F.lit(10))
+    """A country code or trunk 0 stays, so that both forms of a number go together; a 555 exchange stays one for the
+    first attempts."""
+    code = F.regexp_extract(normal, COUNTRY, 0)
+    return _let(F.struct(code.alias("code"), F.substr(normal, F.length(code) + 1).alias("rest")), lambda s: _numbered(key, s["code"], s["rest"], attempt))
+
+
+def _numbered(key: str, code: Column, rest: Column, attempt: Column) -> Column:
     tweak = F.concat(F.lit("phone"), attempt.cast("string"))
     fictional = _let(_permuted(key, tweak, F.concat(F.substring(rest, 1, 3), F.substring(rest, 7, 4))), lambda free: F.concat(F.substring(free, 1, 3), F.lit("555"), F.substring(free, 4, 4)))
-    return F.concat(code, F.when((F.substring(rest, 4, 3) == "555") & (attempt < 8), fictional).otherwise(_permuted(key, tweak, rest)))
+    return F.concat(code, F.when((F.length(rest) == 10) & (F.substring(rest, 4, 3) == "555") & (attempt < 8), fictional).otherwise(_permuted(key, tweak, rest)))
 
 
 def _card(key: str, normal: Column, attempt: Column) -> Column:
@@ -219,7 +237,7 @@ def _laid_out(kind: Column, e: Column, new: Column) -> Column:
     """The surrogate in the layout of the mention: separators where they were, capitals if all were."""
     numbers = F.aggregate(
         F.split(e, ""),
-        F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
+        F.struct(F.lit("").alias("out"), F.when(new.startswith("+"), 2).otherwise(1).alias("at")),
         lambda s, ch: F.when(ch.rlike("^[0-9A-Z]$"), F.struct(F.concat(s["out"], F.substr(new, s["at"], F.lit(1))).alias("out"), (s["at"] + 1).alias("at"))).otherwise(F.struct(F.concat(s["out"], ch).alias("out"), s["at"].alias("at"))),
         lambda s: s["out"],
     )

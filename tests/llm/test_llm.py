@@ -257,3 +257,19 @@ def test_a_lower_threshold_has_bands_of_its_own(spark):
     for threshold in (0.05, 0.3, 0.5, 0.8, 0.95, 1.0):
         bands, rows = neardup.banding(threshold)
         assert (1 - threshold**rows) ** bands <= neardup.MISSED
+
+
+def test_surrogates_of_other_groupings_and_surnames(spark):
+    phones = ["+33 6 12 34 56 78", "+49 30 1234567", "+44 20 7946 0958", "+34 612 345 678", "212 555 0142", "+12125550142", "06 12 34 56 78", "030 1234567", "020 7946 0958", "612 34 56 78", "0033 6 12 34 56 78", "+49 (171) 123-4567"]
+    names = ["John McDonald", "John O'Brien", "John O’Brien", "Mary Li", "Marie Dell'Orso", "Anna Smith-McDonald"]
+    rows = {r.doc_id: r for r in pii.replace(spark.createDataFrame([(x, f"Ask ({x}), 12 times.") for x in phones + names], "doc_id string, text string")).collect()}
+    for x in phones + names:
+        assert rows[x].n_entities == 1 and x not in rows[x].text, rows[x]
+        assert rows[x].text.startswith("Ask (") and rows[x].text.endswith("), 12 times."), rows[x]
+    new = {x: "".join(c for c in rows[x].text[5:-12] if c.isdigit() or c == "+") for x in phones}
+    assert all(len(new[x]) == sum(c.isdigit() or c == "+" for c in x) for x in phones)
+    assert new["+33 6 12 34 56 78"][:3] == "+33" and new["+33 6 12 34 56 78"][3:] == new["06 12 34 56 78"][1:] == new["0033 6 12 34 56 78"][4:]
+    assert new["+12125550142"][2:] == new["212 555 0142"]
+    assert rows["John O'Brien"].text == rows["John O’Brien"].text
+    plain = "On 2024-01-02 or 01-02-2024 the 12 of 1 000 000 sold 0.012345678 at 100 200 3000."
+    assert pii.replace(spark.createDataFrame([(1, plain)], "doc_id int, text string")).first().text == plain
