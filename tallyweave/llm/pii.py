@@ -208,13 +208,20 @@ def _iban(key: str, normal: Column, attempt: Column) -> Column:
 
 def _name(key: str, normal: Column, attempt: Column) -> Column:
     number = _hash(key, F.lit("name"), attempt.cast("string"), normal)
-    return _let(F.struct(F.substring_index(normal, " ", 1).alias("first"), number.alias("h")), lambda s: _chosen(s["first"], s["h"]))
+    return _let(F.struct(F.substring_index(normal, " ", 1).alias("first"), number.alias("h")), lambda s: _chosen(s["first"], s["h"], _more(key, normal, attempt)))
 
 
-def _chosen(first: Column, h: Column) -> Column:
+def _more(key: str, normal: Column, attempt: Column) -> Column:
+    """Numbers of further syllables: one more every other attempt, so that names never run out."""
+    upto = F.floor(attempt / 2).cast("int")
+    return F.when(upto > 0, F.transform(F.sequence(F.lit(1), F.greatest(upto, F.lit(1))), lambda k: _hash(key, F.lit("syllable"), attempt.cast("string"), k.cast("string"), normal))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _chosen(first: Column, h: Column, more: Column) -> Column:
     out = F.lit(None).cast("string")
     for (script, _), names in FIRST_NAMES.items():
-        surname = F.concat(*[_pick(part, F.shiftright(h, 8 + 6 * k)) for k, part in enumerate(SYLLABLES[script])])
+        start, middle, end = (_pick(part, F.shiftright(h, 8 + 6 * k)) for k, part in enumerate(SYLLABLES[script]))
+        surname = F.concat(start, middle, F.array_join(F.transform(more, lambda x: _pick(SYLLABLES[script][1], x)), ""), end)
         out = F.when(first.isin(names), F.concat(_pick(names, h), F.lit(" "), surname)).otherwise(out)
     return out
 

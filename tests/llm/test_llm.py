@@ -273,3 +273,10 @@ def test_surrogates_of_other_groupings_and_surnames(spark):
     assert rows["John O'Brien"].text == rows["John O’Brien"].text
     plain = "On 2024-01-02 or 01-02-2024 the 12 of 1 000 000 sold 0.012345678 at 100 200 3000."
     assert pii.replace(spark.createDataFrame([(1, plain)], "doc_id int, text string")).first().text == plain
+
+
+def test_names_do_not_run_out(spark, monkeypatch):
+    monkeypatch.setitem(pii.SYLLABLES, "latin", (["Al"], ["an", "be"], ["berg"]))
+    texts = [f"John {a}{b}" for a in "Bron Crel Drum Frit Glon Krat Plen Stol Trin Vram".split() for b in "ag eg ig og ug ak ek ik ok uk".split()]
+    got = pii.replace(spark.createDataFrame([(x,) for x in texts], "text string"))
+    assert got.select("text").distinct().count() == 100 and got.where(F.col("text").isin(texts)).isEmpty()
