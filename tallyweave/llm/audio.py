@@ -5,12 +5,12 @@ classes and normalised. Over that picture (time by pitch class) FILTERS rectangl
 comparing two halves by sums from an integral image; the logarithm of their ratio is quantised to two bits in Gray code.
 The bits of all filters are packed into one 32-bit integer for each time.
 
-Alignment: runs of RUN integers are hashed and thinned by winnowing (the least hash of each WINNOW neighbours stays, the
-first place of equal ones in a recording). Recordings that share hashes get a histogram of the offsets between them; the
-offset with the most votes is checked by the share of different bits over the whole overlap.
+Alignment: runs of RUN integers are hashed and thinned by winnowing (the least hash of each WINNOW neighbours stays, with
+all its places). Recordings that share hashes get a histogram of the offsets between them; every offset with VOTES is
+checked by the share of different bits over the whole overlap, and of those that pass the one with the most votes counts.
 
-Recordings with equal fingerprints are one class and are compared once. Null and empty audio, and audio shorter than a
-frame and the filters, has an empty fingerprint and aligns with nothing. Long recordings are read whole, in blocks of
+Recordings with equal fingerprints are one class and are compared once. Audio shorter than a frame and the filters has an
+empty fingerprint: it is classed by equal samples, and aligns with nothing else. Null and empty audio aligns with nothing. Long recordings are read whole, in blocks of
 frames. Repeated ids: each row is a recording of its own; a class counts rows. Null ids are kept as members of classes
 and are no queries.
 """
@@ -18,6 +18,7 @@ and are no queries.
 from __future__ import annotations
 
 import functools
+import hashlib
 import io
 import math
 import wave
@@ -119,7 +120,7 @@ def samples_of(data: bytes | None) -> tuple[np.ndarray, int]:
 
 
 def _landmarks(prints: np.ndarray) -> list[tuple[int, int]]:
-    """(hash of a run of integers, its first place) after winnowing."""
+    """(hash of a run of integers, its place) after winnowing, in order of hashes and places."""
     n = len(prints) - RUN + 1
     if n <= 0:
         return []
@@ -129,12 +130,39 @@ def _landmarks(prints: np.ndarray) -> list[tuple[int, int]]:
         h ^= h >> np.uint64(29)
     near = np.lib.stride_tricks.sliding_window_view(h, min(WINNOW, n))
     places = np.unique(near.argmin(axis=1) + np.arange(len(near)))
-    values, first = np.unique(h[places], return_index=True)
-    return [(int(v), int(places[f])) for v, f in zip(values.view(np.int64), first)]
+    places = places[np.lexsort((places, h[places]))]
+    return list(zip(h[places].view(np.int64).tolist(), places.tolist()))
+
+
+@functools.lru_cache(maxsize=256)
+def _places(prints: bytes) -> dict[int, np.ndarray]:
+    """Places of each landmark of a fingerprint."""
+    out: dict[int, list[int]] = {}
+    for value, place in _landmarks(np.frombuffer(prints, dtype=np.uint32)):
+        out.setdefault(value, []).append(place)
+    return {value: np.array(found, dtype=np.int64) for value, found in out.items()}
+
+
+def best_offset(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, float] | None:
+    """(place, votes, overlap, bit error) of the offset with the most votes, then nearest to 0, of all that pass."""
+    left, right = _places(a.tobytes()), _places(b.tobytes())
+    votes = np.zeros(len(a) + len(b), dtype=np.int64)
+    for value in left.keys() & right.keys():
+        for at in left[value]:
+            votes[right[value] - at + len(a)] += 1
+    offsets = np.flatnonzero(votes >= VOTES) - len(a)
+    for place in sorted(offsets.tolist(), key=lambda x: (-votes[x + len(a)], abs(x), -x)):
+        x, y = a[max(0, -place) :], b[max(0, place) :]
+        overlap = min(len(x), len(y))
+        if overlap >= OVERLAP:
+            error = int(np.bitwise_count(x[:overlap] ^ y[:overlap]).sum()) / (32.0 * overlap)
+            if error <= ERRORS:
+                return place, int(votes[place + len(a)]), overlap, error
+    return None
 
 
 def fingerprints(table: DataFrame, key: str, audio: Column) -> DataFrame:
-    """(id, prints array<int>, same: digest of the prints, marks: landmarks) of each recording."""
+    """(id, prints array<int>, same: digest of the prints, or of the samples where there are none, marks: landmarks)."""
     source = table.select(F.col(key).cast("long").alias("id"), audio.cast("binary").alias("audio"))
     kind = pa.list_(pa.struct([("hash", pa.int64()), ("place", pa.int32())]))
 
@@ -142,12 +170,14 @@ def fingerprints(table: DataFrame, key: str, audio: Column) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                prints = [fingerprint(*samples_of(x.as_py())) for x in batch.column(1)]
+                heard = [samples_of(x.as_py()) for x in batch.column(1)]
+                prints = [fingerprint(*x) for x in heard]
+                short = [hashlib.md5(x.tobytes() + str(rate).encode()).hexdigest() if len(x) and not len(p) else None for (x, rate), p in zip(heard, prints)]
                 marks = [[{"hash": h, "place": p} for h, p in _landmarks(x)] for x in prints]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.view(np.int32) for x in prints], pa.list_(pa.int32())), pa.array(marks, kind)], names=["id", "prints", "marks"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.view(np.int32) for x in prints], pa.list_(pa.int32())), pa.array(marks, kind), pa.array(short, pa.string())], names=["id", "prints", "marks", "short"])
 
-    rows = source.mapInArrow(run, "id long, prints array<int>, marks array<struct<hash: long, place: int>>")
-    return rows.withColumn("same", F.when(F.size("prints") > 0, F.md5(F.array_join("prints", ","))))
+    rows = source.mapInArrow(run, "id long, prints array<int>, marks array<struct<hash: long, place: int>>, short string")
+    return rows.withColumn("same", F.when(F.size("prints") > 0, F.md5(F.array_join("prints", ","))).otherwise(F.concat(F.lit("short "), "short"))).drop("short")
 
 
 def align(table: DataFrame, is_query: Column, key: str, audio: Column) -> DataFrame:
@@ -160,16 +190,20 @@ def align(table: DataFrame, is_query: Column, key: str, audio: Column) -> DataFr
     classes = cut(prints.where("same is not null").groupBy("same").agg(F.min("id").alias("recording_id"), F.count(F.lit(1)).alias("n"), F.first("prints").alias("prints"), F.first("marks").alias("marks")))
     queries = prints.where("same is not null and id is not null").where(F.coalesce(is_query, F.lit(False))).select(F.col("id").alias("query_id"), "same")
     asked = queries.select("same").distinct()
-    marks = classes.select("same", F.inline("marks"))
-    left = marks.join(asked, "same", "left_semi").select(F.col("same").alias("q"), "hash", F.col("place").alias("at_q"))
-    right = marks.select(F.col("same").alias("r"), "hash", F.col("place").alias("at_r"))
-    votes = left.join(right, "hash").where("q <> r").groupBy("q", "r", (F.col("at_r") - F.col("at_q")).alias("place")).agg(F.count(F.lit(1)).alias("votes"))
-    best = votes.groupBy("q", "r").agg(F.max(F.struct("votes", (-F.abs("place")).alias("near"), "place")).alias("best")).where(F.col("best.votes") >= VOTES).select("q", "r", F.col("best.votes").alias("votes"), F.col("best.place").alias("place"))
-    pairs = best.join(classes.select(F.col("same").alias("q"), F.col("prints").alias("pq")), "q").join(classes.select(F.col("same").alias("r"), F.col("prints").alias("pr"), "recording_id", "n"), "r")
-    pairs = pairs.withColumn("from_q", F.greatest(F.lit(0), -F.col("place"))).withColumn("from_r", F.greatest(F.lit(0), F.col("place")))
-    pairs = pairs.withColumn("overlap", F.least(F.size("pq") - F.col("from_q"), F.size("pr") - F.col("from_r")))
-    wrong = F.aggregate(F.zip_with(F.slice("pq", F.col("from_q") + 1, F.col("overlap")), F.slice("pr", F.col("from_r") + 1, F.col("overlap")), lambda a, b: F.bit_count(a.bitwiseXOR(b).bitwiseAND(F.lit(0xFFFFFFFF)))), F.lit(0), lambda s, x: s + x)
-    good = pairs.withColumn("bit_error", wrong / (32.0 * F.col("overlap"))).where((F.col("overlap") >= OVERLAP) & (F.col("bit_error") <= ERRORS))
+    marks = classes.select("same", F.explode(F.array_distinct("marks.hash")).alias("hash"))
+    left = marks.join(asked, "same", "left_semi").select(F.col("same").alias("q"), "hash")
+    met = left.join(marks.select(F.col("same").alias("r"), "hash"), "hash").where("q <> r").select("q", "r").distinct()
+    pairs = met.join(classes.select(F.col("same").alias("q"), F.col("prints").alias("pq")), "q").join(classes.select(F.col("same").alias("r"), F.col("prints").alias("pr"), "recording_id", "n"), "r")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [best_offset(*(batch.column(k)[i].values.to_numpy().view(np.uint32) for k in (1, 2))) for i in range(batch.num_rows)]
+            keep = pa.array([x is not None for x in found], pa.bool_())
+            parts = list(zip(*(x for x in found if x is not None))) or [[]] * 4
+            kinds = (pa.int32(), pa.int64(), pa.int32(), pa.float64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).filter(keep) for k in (0, 3, 4)), *(pa.array(x, kind) for x, kind in zip(parts, kinds))], names=["q", "recording_id", "n", "place", "votes", "overlap", "bit_error"])
+
+    good = pairs.select("q", "pq", "pr", "recording_id", "n").mapInArrow(run, "q string, recording_id long, n long, place int, votes long, overlap int, bit_error double")
     good = good.select(F.col("q").alias("same"), "recording_id", F.col("n").alias("copies"), "place", "votes", "overlap", "bit_error")
     # a query's own class needs no alignment: its other members have equal fingerprints
     own = classes.where("n > 1").select("same", "recording_id", (F.col("n") - 1).alias("copies"), F.lit(0).alias("place"), F.size("marks").cast("long").alias("votes"), F.size("prints").alias("overlap"), F.lit(0.0).alias("bit_error"))

@@ -280,3 +280,20 @@ def test_names_do_not_run_out(spark, monkeypatch):
     texts = [f"John {a}{b}" for a in "Bron Crel Drum Frit Glon Krat Plen Stol Trin Vram".split() for b in "ag eg ig og ug ak ek ik ok uk".split()]
     got = pii.replace(spark.createDataFrame([(x,) for x in texts], "text string"))
     assert got.select("text").distinct().count() == 100 and got.where(F.col("text").isin(texts)).isEmpty()
+
+
+def test_short_recordings_meet_their_copies(spark):
+    rows = [(100, bytes(range(200))), (1, bytes(range(200))), (2, bytes(range(1, 201))), (3, b""), (4, None)]
+    got = audio.align(spark.createDataFrame(rows, "id long, pcm binary"), F.col("id") == 100, "id", F.col("pcm")).collect()
+    assert [(r.query_id, r.recording_id, r.copies, r.bit_error) for r in got] == [(100, 1, 1, 0.0)]
+
+
+def test_every_offset_is_checked():
+    """The run at 0 is chance, the repeated one at 40 stands at the true offset only by its second place."""
+    rng = np.random.default_rng(8)
+    a = rng.integers(0, 1 << 32, 60, dtype=np.uint32)
+    noise = lambda n: rng.integers(0, 1 << 32, n, dtype=np.uint32)
+    b = np.concatenate([a[:20], noise(100), a])
+    assert audio.best_offset(a, b)[0] == 120
+    lone = np.concatenate([a[:7], noise(113), a ^ np.where(np.arange(60) % 7 == 6, 1, 0).astype(np.uint32)])
+    assert audio.best_offset(a, lone)[0] == 120
