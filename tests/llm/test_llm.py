@@ -297,3 +297,12 @@ def test_every_offset_is_checked():
     assert audio.best_offset(a, b)[0] == 120
     lone = np.concatenate([a[:7], noise(113), a ^ np.where(np.arange(60) % 7 == 6, 1, 0).astype(np.uint32)])
     assert audio.best_offset(a, lone)[0] == 120
+
+
+def test_pipeline_keeps_one_row_of_each_class(spark):
+    import corpus_pipeline
+
+    rows = [(1, "one text all of its own here", "en", "a", 1), (1, "quite another text with the same id", "en", "a", 1), (2, "quite another text with the same id", "en", "a", 1), (None, "an exact copy without any id", "en", "a", 1), (None, "an exact copy without any id", "en", "a", 1), (None, None, "en", "a", 1), (3, None, "en", "a", 1), (3, None, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id or 0, r.text or "") for r in corpus_pipeline.neardup_stage(spark, docs, SF).collect())
+    assert got == sorted([(1, rows[0][1]), (1, rows[1][1]), (0, rows[3][1]), (0, ""), (3, "")])
