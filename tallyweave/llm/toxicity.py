@@ -1,7 +1,8 @@
 """Toxicity of a text from a lexicon that also catches misspelled terms, weighed by context.
 
 Lexicon: words and word beginnings (at least PREFIX_LEAST letters, written `abc*`) that occur far more often in labelled
-toxic texts than in clean ones; a beginning must be that of several words. It is kept as a trie. A Levenshtein automaton of each text word is intersected with the trie: the
+toxic texts than in clean ones; a beginning must be that of several words. The words of a beginning's family stand beside it,
+so that they are looked for misspelled as well. It is kept as a trie. A Levenshtein automaton of each text word is intersected with the trie: the
 automaton's state is, for each number of edits within the bound, the set of places in the word reached with so many, and
 a branch is left as soon as all sets are empty. Longer words may differ by more edits; look-alike characters (@ for a, 0 for o) are read as letters first.
 Forms near a term that labelled clean texts use, and toxic ones do not, are exempt.
@@ -286,6 +287,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     ratio = (F.col("toxic") / F.lit(toxic)) / ((F.col("clean") + 0.5) / F.lit(clean))
     terms = words.select(F.col("word").alias("term"), "toxic", "clean").union(starts).where(F.col("toxic") >= max(LEAST_TOXIC, LEAST_RATE * toxic)).withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO)
     picked = _pick([(r["term"], r["toxic"], r["ratio"]) for r in terms.orderBy(F.desc("toxic"), "term").limit(CANDIDATES).collect()])
+    picked = _with_families(picked, words.where((F.col("toxic") > 0) & (ratio >= LEAST_RATIO)))
     trie = Trie(picked)
     # forms near a term that clean texts use: a word of its own, not a misspelling
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,7 +323,7 @@ def _counted(seen: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
 
 def _pick(rows: list[tuple[str, int, float]]) -> dict[str, float]:
     """Terms with their log-odds. Of nested beginnings the longest counts that keeps nearly all the occurrences of the
-    shortest; words with a chosen beginning are left to it."""
+    shortest; words with a chosen beginning come with its family."""
     starts = {t[:-1]: (n, r) for t, n, r in rows if t.endswith("*")}
     picked: dict[str, float] = {}
     for start in sorted(starts, key=len):
@@ -336,6 +338,19 @@ def _pick(rows: list[tuple[str, int, float]]) -> dict[str, float]:
     return dict([*picked.items(), *((t, math.log(r)) for t, r in whole)][:TERMS])
 
 
+def _with_families(picked: dict[str, float], words: DataFrame) -> dict[str, float]:
+    """The terms and, with the weight of their beginning, the whole words (word, toxic) of chosen beginnings."""
+    starts = sorted(t[:-1] for t in picked if t.endswith("*"))
+    if not starts:
+        return picked
+    firsts = words.sparkSession.createDataFrame([(s,) for s in starts], "start string")
+    rows = words.join(F.broadcast(firsts), F.col("word").startswith(F.col("start"))).orderBy(F.desc("toxic"), "word", F.desc(F.length("start"))).limit(CANDIDATES).collect()
+    out = dict(picked)
+    for r in rows:
+        out.setdefault(r["word"], picked[r["start"] + "*"])
+    return out
+
+
 def _fit_curve(points: list[tuple]) -> tuple[float, float, float]:
     """Shift and slopes of a logistic curve over log sums; slopes have a prior that keeps them above 0 without evidence."""
     x = np.array([[1.0, math.log1p(a), math.log1p(q)] for _, _, a, q in points])

@@ -306,3 +306,13 @@ def test_pipeline_keeps_one_row_of_each_class(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted((r.doc_id or 0, r.text or "") for r in corpus_pipeline.neardup_stage(spark, docs, SF).collect())
     assert got == sorted([(1, rows[0][1]), (1, rows[1][1]), (0, rows[3][1]), (0, ""), (3, "")])
+
+
+def test_words_of_a_family_are_found_misspelled(spark):
+    rng = random.Random(9)
+    family = "idiot idiots idiotic idiocy".split()
+    texts = [" ".join([rng.choice(WORDS) for _ in range(20)] + ([family[i % 4]] * 2 if i < 100 else [])) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = toxicity.learn(docs, spark.createDataFrame([(i, int(i < 100)) for i in range(400)], "doc_id long, toxic int"))
+    assert any(t.endswith("*") and "idiot".startswith(t[:-1]) for t in model.trie.weights)
+    assert all(model.weigh(x)[0] > 0 for x in ("idiot", "idiiot", "idiotik", "idiocyy"))
