@@ -61,9 +61,9 @@ PREFIXES = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "secret": r"(?<![0-9A-Za-z])(?=[0-9]*[A-Fa-f])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])",
-    "phone": rf"(?:{'|'.join(PHONES)})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9])|(?<![0-9])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9])",
+    "phone": rf"(?:{'|'.join(PHONES)})(?![0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?!\.?[0-9])",
 }
 _NAMES = [n for names in FIRST_NAMES.values() for n in names]
@@ -90,7 +90,6 @@ def _entities(text: Column) -> Column:
 
 def _kind(e: Column) -> Column:
     """The kind of a find, told from its characters."""
-    digits = F.regexp_replace(e, "[^0-9]", "")
     return (
         F.when(F.instr(e, "@") > 0, "email")
         .when(e.rlike(r"^[A-Z]{2}[0-9]{2}"), "iban")
@@ -98,7 +97,7 @@ def _kind(e: Column) -> Column:
         .when(e.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), "ip")
         .when(e.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
         .when(~e.rlike("[0-9]"), "name")
-        .when((F.length(digits) >= 15) & ~e.startswith("+") & ~e.startswith("00"), "card")
+        .when(e.rlike(rf"^(?:{PREFIXES['card']})$"), "card")
         .otherwise("phone")
     )
 

@@ -316,3 +316,8 @@ def test_words_of_a_family_are_found_misspelled(spark):
     model = toxicity.learn(docs, spark.createDataFrame([(i, int(i < 100)) for i in range(400)], "doc_id long, toxic int"))
     assert any(t.endswith("*") and "idiot".startswith(t[:-1]) for t in model.trie.weights)
     assert all(model.weigh(x)[0] > 0 for x in ("idiot", "idiiot", "idiotik", "idiocyy"))
+
+
+def test_cards_that_begin_with_zeros_stay_cards(spark):
+    row = spark.createDataFrame([("pay 0012 3456 7890 1234 1 time or 0012345678901234",)], "text string").select(pii._entities(F.col("text")).alias("e")).select("e", F.transform("e", pii._kind).alias("k")).first()
+    assert row.e == ["0012 3456 7890 1234", "0012345678901234"] and row.k == ["card", "card"]
