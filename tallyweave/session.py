@@ -41,8 +41,9 @@ def ship(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        path = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "tallyweave"), "zip", root, "tallyweave")
-        spark.sparkContext.addPyFile(path)
+        folder = tempfile.mkdtemp()
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)  # executors fetch the archive as long as the driver runs
+        spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "tallyweave"), "zip", root, "tallyweave"))
         _shipped.add(app)
 
 
@@ -50,8 +51,14 @@ _shipped: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`, or a local one where that is unset (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "tallyweave-checkpoints")
+    """The folder that driver and executors share: `spark.checkpoint.dir`. Only where driver and executors are one process
+    (master local) may it be unset; on a cluster a local folder would lose tables, so that is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return os.path.join(tempfile.gettempdir(), "tallyweave-checkpoints")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -64,20 +71,25 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tallyweave-{os.getpid()}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if not _written:
-        atexit.register(_remove)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
 _written: list[tuple[SparkSession, str]] = []
+atexit.register(lambda: _remove())
 
 
 def _remove() -> None:
-    for spark, path in _written:
+    """Delete the written tables; one that cannot be deleted keeps none of the others."""
+    while _written:
+        spark, path = _written.pop()
         try:
-            jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(conf).delete(target, True)
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
         except Exception:  # the JVM may be gone by now
-            return
+            continue
+
+
+def clear() -> None:
+    """Delete all intermediate tables so far: for long sessions, once results have been written."""
+    _remove()
