@@ -1,13 +1,16 @@
 """BPE encoding by backtracking over longest token matches, and decoding by an offset table.
 
-A trie over the vocabulary (an Aho-Corasick automaton restarted at each token border) gives the longest token at a
-position. A token may follow another only if merging by rank would leave that border alone; whether it would is
-decided by unfolding both tokens' merges, and remembered in a pair-compatibility table. Where no token fits, the last
-one is given up for its next shorter prefix; positions found to lead nowhere are never tried again, so a word takes
-time linear in its length. Each distinct word is encoded once per worker, up to a bounded number of words kept.
-
-Null text counts as empty and has no tokens. Very long texts are encoded whole. Repeated rows give repeated results;
-columns besides those named stay out of the result. The only texts encoded otherwise than by the tokenizers library are
+An Aho-Corasick automaton over the reversed tokens reads a word once from its end: its state after a place is the
+longest piece of a token that starts there, failure links lead to shorter ones, and each state knows the longest token
+among them. That gives the longest token at every place of the word in linear time. A token may follow another only if
+merging by rank would leave that border alone; whether it would is decided by unfolding both tokens' merges, and
+remembered in a pair-compatibility table. Where no token fits, the last one is given up for its next shorter prefix;
+positions found to lead nowhere are never tried again, so a word takes time linear in its length. Each distinct word is
+encoded once per worker, up to a bounded number of words kept.
+
+Null text counts as empty and has no tokens. Very long texts are encoded whole. Repeated rows give repeated results; an
+empty table gives an empty one. Columns besides those named stay out of the result; a kept column with the name of a
+wanted one gives way to it. Ties do not occur: there is one encoding. The only texts encoded otherwise than by the tokenizers library are
 those with letters that came after Unicode 15.1, which libraries of different age class or lower differently.
 """
 
@@ -60,20 +63,10 @@ class Vocabulary:
         self.letters = byte_letters()
         texts = {i: self._units(name) for name, i in self.names.items()}
         self.length = {i: len(u) for i, u in texts.items()}
-        self.trie: list[dict[str, int]] = [{}]
-        self.token_at: list[int] = [-1]
-        for i, units in texts.items():
-            if self._by_rank(units) != [i]:
-                continue  # no text is ever merged to it
-            node = 0
-            for u in units:
-                if u not in self.trie[node]:
-                    self.trie[node][u] = len(self.trie)
-                    self.trie.append({})
-                    self.token_at.append(-1)
-                node = self.trie[node][u]
-            self.token_at[node] = i
-        self.shorter = {i: self._longest(texts[i], 0, len(texts[i]) - 1) for i in self.names.values() if i in texts}
+        # only tokens that some text is merged to take part
+        spelled = {tuple(units): i for i, units in texts.items() if self._by_rank(units) == [i]}
+        self._build_automaton(spelled)
+        self.shorter = {i: next((spelled[p] for k in range(len(u) - 1, 0, -1) if (p := tuple(u[:k])) in spelled), -1) for i, u in texts.items()}
         self._fits: dict[tuple[int, int], bool] = {}
         blobs = [b""] * self.size
         for name, i in [*self.names.items(), *self.specials.items()]:
@@ -102,15 +95,53 @@ class Vocabulary:
             ids[k : k + 2] = [self.joined[ids[k], ids[k + 1]]]
         return ids
 
-    def _longest(self, units: list[str], start: int, end: int) -> int:
-        node, found = 0, -1
-        for k in range(start, end):
-            node = self.trie[node].get(units[k], -1)
-            if node < 0:
-                break
-            if self.token_at[node] >= 0:
-                found = self.token_at[node]
-        return found
+    def _build_automaton(self, spelled: dict[tuple[str, ...], int]) -> None:
+        """Transitions from (state, unit number), failure links and each state's longest token, of the reversed tokens."""
+        self.unit = {u: k for k, u in enumerate(sorted({u for units in spelled for u in units}))}
+        wide = self.wide = len(self.unit)
+        self.goto: dict[int, int] = {}
+        self.found: list[int] = [-1]
+        depths: list[list[tuple[int, int, int]]] = []
+        for units, token in spelled.items():
+            state = 0
+            for depth, u in enumerate(reversed(units)):
+                step = state * wide + self.unit[u]
+                to = self.goto.get(step)
+                if to is None:
+                    to = self.goto[step] = len(self.found)
+                    self.found.append(-1)
+                    if depth == len(depths):
+                        depths.append([])
+                    depths[depth].append((state, self.unit[u], to))
+                state = to
+            self.found[state] = token
+        self.fail = [0] * len(self.found)
+        for level in depths:  # shallow states first: a failure link leads to a shallower one
+            for state, u, to in level:
+                if state:
+                    back = self.fail[state]
+                    while back and back * wide + u not in self.goto:
+                        back = self.fail[back]
+                    self.fail[to] = self.goto.get(back * wide + u, 0)
+                if self.found[to] < 0:
+                    self.found[to] = self.found[self.fail[to]]
+
+    def longest(self, letters: list[str]) -> list[int]:
+        """The longest token that starts at each place, -1 for none; one pass from the end."""
+        goto, fail, wide, unit = self.goto, self.fail, self.wide, self.unit
+        out, state = [-1] * len(letters), 0
+        for at in range(len(letters) - 1, -1, -1):
+            u = unit.get(letters[at], -1)
+            if u < 0:
+                state = 0
+                continue
+            to = goto.get(state * wide + u)
+            while to is None and state:
+                state = fail[state]
+                to = goto.get(state * wide + u)
+            state = to or 0
+            out[at] = self.found[state]
+        return out
 
     def fits(self, left: int, right: int) -> bool:
         """Whether merging by rank keeps the border between these neighbours."""
@@ -144,13 +175,14 @@ class Vocabulary:
         n = len(letters)
         alive = bytearray(b"\x01") * (n + 1)
         out: list[int] = []
-        at, token = 0, self._longest(letters, 0, n)
+        longest = self.longest(letters)
+        at, token = 0, longest[0]
         while at < n:
             while token >= 0:
                 end = at + self.length[token]
                 if alive[end] and (not out or self.fits(out[-1], token)):
                     out.append(token)
-                    at, token = end, self._longest(letters, end, n)
+                    at, token = end, longest[end] if end < n else -1
                     break
                 token = self.shorter[token]
             else:
