@@ -8,8 +8,10 @@ PROFILE_SIZE where the language's profile has no such n-gram.
 Profiles are counted over all texts to learn from. Counts are sums, so they do not depend on the order of rows; equal
 counts rank by the n-gram's code points, equal distances go to the smaller language name.
 
-Null or letterless text: `und` with score 0. Very long texts are read whole. Rows are independent of each other, so
-repeated rows give repeated results. An empty table to learn from gives a model that answers `und`.
+Null text or text without any letter (marks are none): `und` with score 0. Very long texts are read whole. Rows are
+independent of each other, so repeated rows give repeated results. An empty table to learn from gives a model that
+answers `und`; an empty table to identify gives an empty result. Kept columns named lang_pred or score give way to the
+result's own.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweave.llm.textkernel import LETTER, UPPER, chunked, classes, code_points
+from tallyweave.llm.textkernel import LETTER, UPPER, chunked, classes, code_points, letters
 
 PROFILE_SIZE = 300
 UNKNOWN = "und"
@@ -43,9 +45,12 @@ class Grams:
         codes = np.where(letter, points, 32)[keep].astype(np.int64)
         self.codes = np.concatenate(([32], codes, [32, 32]))
         count = np.concatenate(([0], np.cumsum(keep)))
+        # marks stand in words, but a text of marks alone has no letter
+        pure = np.concatenate(([0], np.cumsum(letters()[points])))
+        has = pure[starts[1:]] > pure[starts[:-1]]
         # positions before each text's first letter and after its last
         firsts, lasts = np.searchsorted(at := np.flatnonzero(letter), starts[:-1]), np.searchsorted(at, starts[1:])
-        self.spans = [(count[at[a]], count[at[b - 1]] + 2) if b > a else None for a, b in zip(firsts, lasts)]
+        self.spans = [(count[at[a]], count[at[b - 1]] + 2) if yes else None for a, b, yes in zip(firsts, lasts, has)]
         c = self.codes
         self.two = (c[:-1] << 21) | c[1:]
         self.three = (self.two[:-1] << 21) | c[2:]
@@ -139,7 +144,8 @@ def _rows(name: str, counted: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
 
 def identify(docs: DataFrame, model: Profiles, keep: list[str], text: str = "text") -> DataFrame:
     """Columns `keep`, lang_pred and score. One pass without a shuffle; the broadcast model is PROFILE_SIZE n-grams a language."""
-    source = docs.select(*keep, docs[text].alias("__text"))
+    kept = [c for c in keep if c not in ("lang_pred", "score")]
+    source = docs.select(*kept, docs[text].alias("__text"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]] + ["lang_pred string, score double"])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

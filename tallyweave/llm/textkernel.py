@@ -34,6 +34,15 @@ def classes() -> np.ndarray:
     return table
 
 
+@functools.lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """Whether each code point is a letter by itself: marks are not."""
+    table = np.zeros(0x110000, dtype=bool)
+    for code in range(0x110000):
+        table[code] = unicodedata.category(chr(code))[0] == "L"
+    return table
+
+
 @functools.lru_cache(maxsize=1)
 def _powers_cache() -> dict:
     return {}
