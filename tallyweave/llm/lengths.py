@@ -8,7 +8,8 @@ documents are cut at the limit. Between two lengths that occur nothing changes b
 Scale: the histogram has a row for each different length. Sums run within blocks of BLOCK lengths and over the blocks'
 totals, so that no task gets all lengths.
 
-Null and empty texts have length 0. Repeated rows count each time. An empty table has an empty histogram.
+Null and empty texts have length 0. Very long texts are encoded whole. Repeated rows count each time, equal lengths are
+one row. An empty table has an empty histogram. Only the text is read: other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -48,10 +49,17 @@ def suffix_sums(counted: DataFrame) -> DataFrame:
 
 
 def at_limits(sums: DataFrame, limits: list[int]) -> DataFrame:
-    """(context_limit, docs_over, truncated_total) for any limits, from suffix_sums()."""
-    spark = sums.sparkSession
-    asked = spark.createDataFrame([(int(x),) for x in sorted(set(limits))], "context_limit long")
-    # the asked limits are a short list of the caller's
-    return F.broadcast(asked).join(sums, F.col("n_tokens") > F.col("context_limit"), "left").groupBy("context_limit").agg(
-        F.coalesce(F.sum("docs"), F.lit(0)).alias("docs_over"), F.coalesce(F.sum(F.col("docs") * (F.col("n_tokens") - F.col("context_limit"))), F.lit(0)).alias("tokens_cut")
-    )
+    """(context_limit, docs_over, tokens_cut) for a caller's list of limits, from suffix_sums(): documents longer than the
+    limit, and the tokens that cutting them takes away. One pass with a pair of sums for each limit, no join."""
+    asked = sorted(set(map(int, limits)))
+    if not asked:
+        return sums.sparkSession.createDataFrame([], "context_limit long, docs_over long, tokens_cut long")
+    over = lambda x: F.greatest(F.col("n_tokens") - F.lit(x), F.lit(0)).cast("long")
+    found = sums.agg(*[F.struct(F.lit(x).cast("long").alias("context_limit"), F.coalesce(F.sum(F.when(F.col("n_tokens") > x, F.col("docs"))), F.lit(0)).cast("long").alias("docs_over"), F.coalesce(F.sum(F.col("docs") * over(x)), F.lit(0)).cast("long").alias("tokens_cut")).alias(f"at{k}") for k, x in enumerate(asked)])
+    return found.select(F.explode(F.array(*[F.col(f"at{k}") for k in range(len(asked))])).alias("a")).select("a.*")
+
+
+def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
+    """(share, n_tokens): the least length up to which at least that share of the documents reaches; null without documents."""
+    found = sums.agg(*[F.min(F.when(F.col("share_upto") >= x, F.col("n_tokens"))).alias(f"at{k}") for k, x in enumerate(shares)])
+    return found.select(F.explode(F.array(*[F.struct(F.lit(float(x)).alias("share"), F.col(f"at{k}").alias("n_tokens")) for k, x in enumerate(shares)])).alias("a")).select("a.*")
