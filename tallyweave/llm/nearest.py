@@ -10,8 +10,9 @@ Every row is indexed and every query meets every block. Rows and queries meet in
 QUERY_ROWS queries, so a task's memory is bounded whatever the table's size.
 
 Rows take no part whose vector or id is null, or whose vector is zero or holds null or non-finite values. Vectors are
-compared with those of the same length only. A query never finds rows with its own id; if an id that queries repeats,
-its least vector is the query. Ties go to the smaller id. Empty tables give empty results.
+compared with those of the same length only. A query never finds its own row; other rows that repeat its id are
+candidates like all others, and the least vector of an id that repeats is its query. Equal vectors have equal scores; ties
+go to the smaller id. Empty tables give empty results. Only the two columns named are read: others cannot clash.
 """
 
 from __future__ import annotations
@@ -94,7 +95,11 @@ def best_of_block(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, quer
     """(query number, ids, scores) of the best k candidates of one block for each query."""
     forest = Forest(rows)
     for q, found in enumerate(forest.candidates(queries, max(share * len(rows), 4 * k))):
-        found = found[ids[found] != query_ids[q]]
+        own = np.flatnonzero(ids[found] == query_ids[q])
+        if len(own):
+            # the query's own row is no candidate; another row that repeats its id is one
+            same = own[(rows[found[own]] == queries[q]).all(axis=1)]
+            found = np.delete(found, same[:1])
         rough = rows[found] @ queries[q]
         if len(found) > k:
             least = np.partition(rough, len(rough) - k)[len(rough) - k]
