@@ -5,14 +5,15 @@ classes and normalised. Over that picture (time by pitch class) FILTERS rectangl
 comparing two halves by sums from an integral image; the logarithm of their ratio is quantised to two bits in Gray code.
 The bits of all filters are packed into one 32-bit integer for each time.
 
-Alignment: runs of RUN integers are hashed and thinned by winnowing (the least hash of each WINNOW neighbours stays, with
-all its places). Recordings that share hashes get a histogram of the offsets between them; every offset with VOTES is
+Alignment: the upper bits of all filters (which of the two halves is greater) in each run of RUN integers make a landmark,
+kept with all its places. Recordings that share landmarks get a histogram of the offsets between them; every offset with VOTES is
 checked by the share of different bits over the whole overlap, and of those that pass the one with the most votes counts.
 
 Recordings with equal fingerprints are one class and are compared once. Audio shorter than a frame and the filters has an
-empty fingerprint: it is classed by equal samples, and aligns with nothing else. Null and empty audio aligns with nothing. Long recordings are read whole, in blocks of
-frames. Repeated ids: each row is a recording of its own; a class counts rows. Null ids are kept as members of classes
-and are no queries.
+empty fingerprint: it is classed by equal samples, and aligns with nothing else. Null, empty and undecodable audio aligns
+with nothing. Long recordings are read whole, in blocks of frames. Repeated ids: each row is a recording of its own; a
+class counts rows. Null ids are kept as members of classes and are no queries. Ties go to the smaller id, then to the
+offset nearest 0. An empty table gives an empty result. Only the columns named are read: others cannot clash.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import functools
 import hashlib
 import io
 import math
+import struct
 import wave
 from collections.abc import Iterator
 
@@ -29,12 +31,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm.neardup import components
 from tallyweave.session import cut
 
 RATE, FRAME, HOP, FILTERS, SPAN = 8000, 512, 128, 16, 8
-RUN, WINNOW = 4, 4
-#: An alignment needs this many votes and integers of overlap, and at most this share of different bits.
-VOTES, OVERLAP, ERRORS = 1, 8, 0.2
+#: Integers in a landmark, and the bits of each that count: the upper one of every filter's two.
+RUN, UPPER_BITS = 2, 0xAAAAAAAA
+#: An alignment needs this many votes and integers of overlap, and at most this share of different bits: the best of all
+#: offsets of unrelated recordings rarely gets below 0.15.
+VOTES, OVERLAP, ERRORS = 1, 8, 0.12
 _FRAMES_AT_ONCE = 4096
 
 
@@ -107,30 +112,38 @@ def fingerprint(samples: np.ndarray, rate: int = RATE, frame: int = FRAME, hop:
 
 
 def samples_of(data: bytes | None) -> tuple[np.ndarray, int]:
-    """(samples between -1 and 1, rate) of WAV bytes (8 or 16 bits, channels averaged), else of raw unsigned 8-bit mono at RATE."""
+    """(samples between -1 and 1, rate) of WAV bytes (PCM of 8 to 32 bits, channels averaged), else of raw unsigned 8-bit mono
+    at RATE. Bytes that begin like a WAV file but are none that can be read have no samples."""
     data = data or b""
     if data[:4] == b"RIFF" and data[8:12] == b"WAVE":
-        with wave.open(io.BytesIO(data)) as file:
-            raw, width, channels, rate = file.readframes(file.getnframes()), file.getsampwidth(), file.getnchannels(), file.getframerate()
-        if width not in (1, 2):
-            raise ValueError("WAV of 8 or 16 bits is needed")
-        values = np.frombuffer(raw, dtype=np.uint8).astype(np.float32) / 128 - 1 if width == 1 else np.frombuffer(raw, dtype="<i2").astype(np.float32) / 32768
+        try:
+            with wave.open(io.BytesIO(data)) as file:
+                raw, width, channels, rate = file.readframes(file.getnframes()), file.getsampwidth(), file.getnchannels(), file.getframerate()
+        except (wave.Error, EOFError, RuntimeError, ValueError, struct.error):
+            return np.zeros(0, dtype=np.float32), RATE
+        if width not in (1, 2, 3, 4) or channels < 1 or rate < 1:
+            return np.zeros(0, dtype=np.float32), RATE
+        raw = np.frombuffer(raw[: len(raw) // width * width], dtype=np.uint8).reshape(-1, width)
+        if width == 1:
+            values = raw[:, 0].astype(np.float32) / 128 - 1
+        else:  # little-endian, moved to the high bytes of 32 bits
+            wide = np.zeros((len(raw), 4), dtype=np.uint8)
+            wide[:, 4 - width :] = raw
+            values = (wide.view("<i4")[:, 0] / float(1 << 31)).astype(np.float32)
         return values[: len(values) // channels * channels].reshape(-1, channels).mean(axis=1), rate
     return np.frombuffer(data, dtype=np.uint8).astype(np.float32) / 128 - 1, RATE
 
 
 def _landmarks(prints: np.ndarray) -> list[tuple[int, int]]:
-    """(hash of a run of integers, its place) after winnowing, in order of hashes and places."""
+    """(landmark, its place), in order of both."""
     n = len(prints) - RUN + 1
     if n <= 0:
         return []
     h = np.zeros(n, dtype=np.uint64)
     for k in range(RUN):
-        h = (h ^ prints[k : n + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (prints[k : n + k] & np.uint32(UPPER_BITS)).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    near = np.lib.stride_tricks.sliding_window_view(h, min(WINNOW, n))
-    places = np.unique(near.argmin(axis=1) + np.arange(len(near)))
-    places = places[np.lexsort((places, h[places]))]
+    places = np.argsort(h, kind="stable")
     return list(zip(h[places].view(np.int64).tolist(), places.tolist()))
 
 
@@ -180,31 +193,67 @@ def fingerprints(table: DataFrame, key: str, audio: Column) -> DataFrame:
     return rows.withColumn("same", F.when(F.size("prints") > 0, F.md5(F.array_join("prints", ","))).otherwise(F.concat(F.lit("short "), "short"))).drop("short")
 
 
+class _Aligned:
+    """Recordings by fingerprint, the queries among them, and the aligned pairs of different fingerprints."""
+
+    def __init__(self, table: DataFrame, is_query: Column, key: str, audio: Column):
+        self.prints = cut(fingerprints(table, key, audio))
+        self.classes = classes = cut(self.prints.where("same is not null").groupBy("same").agg(F.min("id").alias("recording_id"), F.count(F.lit(1)).alias("n"), F.first("prints").alias("prints"), F.first("marks").alias("marks")))
+        self.queries = self.prints.where("same is not null and id is not null").where(F.coalesce(is_query, F.lit(False))).select(F.col("id").alias("query_id"), "same")
+        asked = self.queries.select("same").distinct()
+        marks = classes.select("same", F.explode(F.array_distinct("marks.hash")).alias("hash"))
+        left = marks.join(asked, "same", "left_semi").select(F.col("same").alias("q"), "hash")
+        met = left.join(marks.select(F.col("same").alias("r"), "hash"), "hash").where("q <> r").select("q", "r").distinct()
+        pairs = met.join(classes.select(F.col("same").alias("q"), F.col("prints").alias("pq")), "q").join(classes.select(F.col("same").alias("r"), F.col("prints").alias("pr")), "r")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [best_offset(*(batch.column(k)[i].values.to_numpy().view(np.uint32) for k in (2, 3))) for i in range(batch.num_rows)]
+                keep = pa.array([x is not None for x in found], pa.bool_())
+                parts = list(zip(*(x for x in found if x is not None))) or [[]] * 4
+                kinds = (pa.int32(), pa.int64(), pa.int32(), pa.float64())
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).filter(keep) for k in (0, 1)), *(pa.array(x, kind) for x, kind in zip(parts, kinds))], names=["q", "r", "place", "votes", "overlap", "bit_error"])
+
+        self.pairs = cut(pairs.select("q", "r", "pq", "pr").mapInArrow(run, "q string, r string, place int, votes long, overlap int, bit_error double"))
+
+    def alignments(self) -> DataFrame:
+        """(same, recording_id, copies, place, votes, overlap, bit_error) for each fingerprint asked for."""
+        others = self.pairs.join(self.classes.select(F.col("same").alias("r"), "recording_id", F.col("n").alias("copies")), "r")
+        others = others.select(F.col("q").alias("same"), "recording_id", "copies", "place", "votes", "overlap", "bit_error")
+        # a query's own class needs no alignment: its other members have equal fingerprints
+        own = self.classes.where("n > 1").select("same", "recording_id", (F.col("n") - 1).alias("copies"), F.lit(0).alias("place"), F.size("marks").cast("long").alias("votes"), F.size("prints").alias("overlap"), F.lit(0.0).alias("bit_error"))
+        return others.unionByName(own.join(self.queries.select("same").distinct(), "same", "left_semi"))
+
+
 def align(table: DataFrame, is_query: Column, key: str, audio: Column) -> DataFrame:
     """(query_id, recording_id, copies, place, votes, overlap, bit_error) for each query and each class it aligns with.
 
     `recording_id` is the least id of the class, `copies` its rows, without the query itself. `place` is how many integers
     later the shared part stands in the recording.
     """
-    prints = cut(fingerprints(table, key, audio))
-    classes = cut(prints.where("same is not null").groupBy("same").agg(F.min("id").alias("recording_id"), F.count(F.lit(1)).alias("n"), F.first("prints").alias("prints"), F.first("marks").alias("marks")))
-    queries = prints.where("same is not null and id is not null").where(F.coalesce(is_query, F.lit(False))).select(F.col("id").alias("query_id"), "same")
-    asked = queries.select("same").distinct()
-    marks = classes.select("same", F.explode(F.array_distinct("marks.hash")).alias("hash"))
-    left = marks.join(asked, "same", "left_semi").select(F.col("same").alias("q"), "hash")
-    met = left.join(marks.select(F.col("same").alias("r"), "hash"), "hash").where("q <> r").select("q", "r").distinct()
-    pairs = met.join(classes.select(F.col("same").alias("q"), F.col("prints").alias("pq")), "q").join(classes.select(F.col("same").alias("r"), F.col("prints").alias("pr"), "recording_id", "n"), "r")
+    found = _Aligned(table, is_query, key, audio)
+    return found.queries.join(found.alignments(), "same").select("query_id", "recording_id", "copies", "place", "votes", "overlap", "bit_error")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [best_offset(*(batch.column(k)[i].values.to_numpy().view(np.uint32) for k in (1, 2))) for i in range(batch.num_rows)]
-            keep = pa.array([x is not None for x in found], pa.bool_())
-            parts = list(zip(*(x for x in found if x is not None))) or [[]] * 4
-            kinds = (pa.int32(), pa.int64(), pa.int32(), pa.float64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(k).filter(keep) for k in (0, 3, 4)), *(pa.array(x, kind) for x, kind in zip(parts, kinds))], names=["q", "recording_id", "n", "place", "votes", "overlap", "bit_error"])
-
-    good = pairs.select("q", "pq", "pr", "recording_id", "n").mapInArrow(run, "q string, recording_id long, n long, place int, votes long, overlap int, bit_error double")
-    good = good.select(F.col("q").alias("same"), "recording_id", F.col("n").alias("copies"), "place", "votes", "overlap", "bit_error")
-    # a query's own class needs no alignment: its other members have equal fingerprints
-    own = classes.where("n > 1").select("same", "recording_id", (F.col("n") - 1).alias("copies"), F.lit(0).alias("place"), F.size("marks").cast("long").alias("votes"), F.size("prints").alias("overlap"), F.lit(0.0).alias("bit_error"))
-    return queries.join(good.unionByName(own), "same").select("query_id", "recording_id", "copies", "place", "votes", "overlap", "bit_error")
+
+def groups(table: DataFrame, is_query: Column, key: str, audio: Column) -> DataFrame:
+    """One row for each row of `table`: (id, class_id, class_size, links, recording_id, place, votes, overlap, bit_error).
+
+    `class_id` is the least id of the recordings that aligned pairs hold together, a lone recording's its own; `class_size`
+    counts their rows. The rest is null for rows that are no queries: `links` counts the other rows that the query aligns
+    with, and the last columns are its best alignment (least bit error, then longest overlap, then least recording).
+    """
+    found = _Aligned(table, is_query, key, audio)
+    labels = components(found.pairs.select(F.col("q").alias("a"), F.col("r").alias("b")))
+    named = found.classes.select("same", "recording_id", "n").join(labels.withColumnRenamed("node", "same"), "same", "left").withColumn("label", F.coalesce("label", "same"))
+    named = cut(named)
+    whole = named.groupBy("label").agg(F.min("recording_id").alias("class_id"), F.sum("n").alias("class_size"))
+    member = named.join(whole, "label").select("same", "class_id", "class_size")
+    order = F.struct("bit_error", (-F.col("overlap")).alias("less"), "recording_id", "place", "votes", "overlap")
+    best = found.alignments().groupBy("same").agg(F.sum("copies").alias("links"), F.min(order).alias("best"))
+    asked = F.coalesce(is_query, F.lit(False)) & F.col("id").isNotNull() & F.col("same").isNotNull()
+    rows = found.prints.select("id", "same", asked.alias("asks")).join(member, "same", "left").join(best, "same", "left")
+    only = lambda c: F.when(F.col("asks"), c)
+    return rows.select(
+        "id", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), only(F.coalesce("links", F.lit(0).cast("long"))).alias("links"),
+        *[only(F.col(f"best.{c}")).alias(c) for c in ("recording_id", "place", "votes", "overlap", "bit_error")],
+    )

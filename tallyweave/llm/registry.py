@@ -46,8 +46,9 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents' bytes as raw 8-bit audio, for want of a table with sound: alignments of every hundredth with all."""
-    return audio.align(_table(spark, sf_dir, "documents"), F.col("id") % 100 == 0, "doc_id", F.encode("text", "UTF-8"))
+    """Documents' bytes as raw 8-bit audio, for want of a table with sound: every hundredth is searched for in all; each
+    document with its class, each query with its links and its best alignment."""
+    return audio.groups(_table(spark, sf_dir, "documents"), F.col("id") % 100 == 0, "doc_id", F.encode("text", "UTF-8")).withColumnRenamed("id", "doc_id")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
