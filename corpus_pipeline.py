@@ -31,7 +31,7 @@ def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates for personal data; n_chars follows the new text."""
-    new = pii.replace(docs, count=None)
+    new = pii.replace(docs, registry.surrogate_key(spark), count=None)
     return new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
