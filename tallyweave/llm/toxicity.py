@@ -1,21 +1,29 @@
 """Toxicity of a text from a lexicon that also catches misspelled terms, weighed by context.
 
-Lexicon: words and word beginnings (at least PREFIX_LEAST letters, written `abc*`) that occur far more often in labelled
-toxic texts than in clean ones; a beginning must be that of several words. The words of a beginning's family stand beside it,
-so that they are looked for misspelled as well. It is kept as a trie. A Levenshtein automaton of each text word is intersected with the trie: the
-automaton's state is, for each number of edits within the bound, the set of places in the word reached with so many, and
-a branch is left as soon as all sets are empty. Longer words may differ by more edits; look-alike characters (@ for a, 0 for o) are read as letters first.
-Forms near a term that labelled clean texts use, and toxic ones do not, are exempt.
+Lexicon: words and word beginnings (PREFIX_LEAST to PREFIX_MOST letters, written `abc*`) that occur far more often in
+labelled toxic texts than in clean ones; a beginning must be that of several words. The words of a beginning's family stand beside it. The lexicon is kept as a trie. A Levenshtein automaton of each
+text word is intersected with the trie: the automaton's state is, for each number of edits within the bound, the set of
+places in the word reached with so many, and a branch is left as soon as all sets are empty. Longer words may differ by
+more edits; look-alike characters (@ for a, 0 for o) are read as letters first. A beginning is found misspelled too: the
+automaton may then stop before the word's end.
+
+Which terms are looked for misspelled is learned: of the clean texts' words, if no terms themselves, those within a term's
+edits are its neighbours. A term with more than NEIGHBOURS of them cannot be told from other words when misspelled, and one
+that clean texts use themselves (PLAIN_SHARE) is weak evidence already; such terms are found as they stand only. The
+neighbours of all others are exempt forms.
 
 Score: every hit counts its term's log-odds, less for each edit. Its context window then says how much of that holds:
 hits inside quotation marks, or near a reporting or defining word, count as quotation; other hits in the window add to
 each other. A logistic curve over the summed abuse and quotation, fitted to the labels, gives the score.
 
 Lexicon and curve are learned from at most FIT_ROWS labelled rows, those with the least hash of their id: a bounded
-number of ids can be sent to the texts, which then need no shuffle. Scoring reads whole texts.
+number of ids can be sent to the texts, which then need no shuffle. Scoring reads whole texts. Terms, neighbours and
+exempt forms have no bound but that sample.
 
-Null or empty text scores as a text without hits. Null labels are left out. Without labels of both classes the lexicon
-is empty and every text scores the share of label 1 (0 with no labels). Repeated rows give repeated scores.
+Null or empty text scores as a text without hits; so does a text of one long word that no term is near. Null labels are
+left out. Without labels of both classes the lexicon is empty and every text scores alike: near 1 if all labels are 1, near
+0 otherwise. Repeated rows give repeated scores. Of equally near terms the
+heaviest counts, then the last by code points. An empty table gives an empty result. A kept column named score gives way.
 """
 
 from __future__ import annotations
@@ -29,22 +37,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.llm.textkernel import Tokens, chunked
 from tallyweave.session import cut
 
-#: Bounds of the labelled rows to learn from and of the terms looked at and kept.
-FIT_ROWS, CANDIDATES, TERMS = 20_000, 5_000, 1_000
-PREFIX_LEAST, PREFIX_MOST, WORD_LEAST, WORD_MOST = 3, 10, 3, 40
-#: A term needs this many occurrences in toxic texts, this many for each toxic text (so that the words of a few copied
-#: texts are none), and this many times the rate of clean ones. A text counts for at most TEXT_MOST of them.
+#: Bound of the labelled rows to learn from.
+FIT_ROWS = 20_000
+PREFIX_LEAST, PREFIX_MOST, WORD_LEAST = 3, 10, 3
+#: A term needs this many occurrences in toxic texts, this many for each toxic text (near copies of a few toxic texts make
+#: evidence of all their words otherwise), and this many times the rate of clean ones. A text counts for at most TEXT_MOST.
 LEAST_TOXIC, LEAST_RATE, LEAST_RATIO, TEXT_MOST = 8, 0.02, 9.0, 5
 #: A beginning needs this many words in toxic texts, none with more than this share of its occurrences.
 PREFIX_WORDS, PREFIX_TOP = 4, 0.6
-#: Only terms with at least these log-odds, which clean texts hardly ever have, are looked for misspelled.
-FUZZY_LEAST = 4.5
+#: Neighbours in clean texts, and share of clean texts with the term itself, beyond which it is not looked for misspelled.
+NEIGHBOURS, PLAIN_SHARE = 8, 1e-4
 WINDOW = 6
 #: Of a quoted hit's weight this much stays abuse.
 QUOTED_SHARE = 0.15
@@ -88,48 +96,62 @@ def normal_form(token: str) -> str:
 
 
 class Trie:
-    """Lexicon terms; a term that ends in * stands for all words that begin with it."""
+    """Lexicon terms; a term that ends in * stands for all words that begin with it. `exact` terms match without edits."""
 
-    def __init__(self, terms: dict[str, float]):
-        self.weights = terms
+    def __init__(self, terms: dict[str, float], exact: frozenset[str] = frozenset()):
+        self.weights, self.exact = terms, exact
         self._parts: dict = {}
         self.children: list[dict[str, int]] = [{}]
         self.whole: list[str | None] = [None]
         self.prefix: list[str | None] = [None]
+        #: Whether a term that may be misspelled lies at a node or below: other branches are none of the automaton's.
+        self.fuzzy = [False]
         for term in sorted(terms):
-            node = 0
-            for ch in term.removesuffix("*"):
+            node, stem = 0, term.removesuffix("*")
+            # a word may be longer than the term by its edits, and longer words may differ more
+            loose = term not in exact and (edits_allowed(len(stem)) if term.endswith("*") else edits_allowed(len(stem) + 2)) > 0
+            self.fuzzy[0] |= loose
+            for ch in stem:
                 if ch not in self.children[node]:
                     self.children[node][ch] = len(self.children)
                     self.children.append({})
                     self.whole.append(None)
                     self.prefix.append(None)
+                    self.fuzzy.append(False)
                 node = self.children[node][ch]
+                self.fuzzy[node] |= loose
             (self.prefix if term.endswith("*") else self.whole)[node] = term
 
     def _may_be_near(self, word: str) -> bool:
         """Whether the word has, unchanged, one of the parts of a term, of which edits can change all but one: a look at
         the letters that spares most words the automaton and leaves none out that it would find."""
-        n = len(word)
+        # beyond the longest term only beginnings can match: all longer words are alike
+        n = min(len(word), self._longest())
         if n not in self._parts:
-            edits, parts = edits_allowed(n), set()
+            parts = set()
             for term in self.weights:
-                m = len(term)
-                if not term.endswith("*") and abs(m - n) <= edits and self.weights[term] >= FUZZY_LEAST:
+                stem, start = term.removesuffix("*"), term.endswith("*")
+                m, edits = len(stem), edits_allowed(n)
+                if start:
+                    edits = min(edits, edits_allowed(m))
+                if term not in self.exact and edits and (n >= m - edits if start else abs(m - n) <= edits):
                     cuts = [m * k // (edits + 1) for k in range(edits + 2)]
-                    parts |= {term[i:j] for i, j in zip(cuts, cuts[1:])}
+                    parts |= {stem[i:j] for i, j in zip(cuts, cuts[1:])}
             self._parts[n] = re.compile("|".join(map(re.escape, sorted(parts)))).search if parts else None
         look = self._parts[n]
         return look is not None and look(word) is not None
 
+    def _longest(self) -> int:
+        if -1 not in self._parts:
+            self._parts[-1] = 3 + max([len(t) for t in self.weights], default=0)
+        return self._parts[-1]
+
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_parts": {}}
 
     def nearest(self, word: str) -> tuple[str, int] | None:
-        """The term with the fewest edits from the word, of those the heaviest, or None within the bound.
-
-        Beginnings match without edits only: with them, half the words of a language would be near one.
-        """
+        """The term with the fewest edits from the word, of those the heaviest, or None within the bound. A beginning is as
+        far away as it is from the nearest beginning of the word; its own length bounds its edits too."""
         best: tuple | None = None
         node = 0
         for ch in word:
@@ -137,25 +159,41 @@ class Trie:
             if node < 0:
                 break
             if self.prefix[node] is not None:
-                best = max(best or (0, -1.0, ""), (0, self.weights[self.prefix[node]], self.prefix[node]))
+                best = max(best or (-99, -1.0, ""), (0, self.weights[self.prefix[node]], self.prefix[node]))
         if node >= 0 and self.whole[node] is not None:
-            best = max(best or (0, -1.0, ""), (0, self.weights[self.whole[node]], self.whole[node]))
-        if not self._may_be_near(word):
+            best = max(best or (-99, -1.0, ""), (0, self.weights[self.whole[node]], self.whole[node]))
+        if best or not self._may_be_near(word):
             return (best[2], 0) if best else None
-        bound, n = edits_allowed(len(word)), len(word)
+        for found in self.near(word):
+            best = max(best or (-99, -1.0, ""), found)
+        return (best[2], -best[0]) if best else None
+
+    def near(self, word: str) -> Iterator[tuple[int, float, str]]:
+        """(-edits, weight, term) of all terms within the word's edits, by the automaton."""
+        # no term is longer than the word and its edits, so the rest of a very long word cannot matter
+        n = min(len(word), self._longest())
+        bound = edits_allowed(len(word))
         places: dict[str, int] = {}
-        for i, ch in enumerate(word):
+        for i, ch in enumerate(word[:n]):
             places[ch] = places.get(ch, 0) | 1 << i
         # the automaton's state: for each number of edits the set of places in the word, as bits, reached with so many
         stack = [(0, [(2 << e) - 1 for e in range(bound + 1)])]
-        done, full = 1 << n, (2 << n) - 1
+        done, full = (1 << n if n == len(word) else 0), (2 << n) - 1
         while stack:
             node, reached = stack.pop()
-            if self.whole[node] is not None:
+            term = self.whole[node]
+            if term is not None and term not in self.exact:
                 edits = next((e for e in range(bound + 1) if reached[e] & done), None)
-                if edits is not None and (not edits or self.weights[self.whole[node]] >= FUZZY_LEAST):
-                    best = max(best or (-99, 0.0, ""), (-edits, self.weights[self.whole[node]], self.whole[node]))
+                if edits is not None:
+                    yield -edits, self.weights[term], term
+            term = self.prefix[node]
+            if term is not None and term not in self.exact:
+                edits = next((e for e in range(min(bound, edits_allowed(len(term) - 1)) + 1) if reached[e]), None)
+                if edits is not None:
+                    yield -edits, self.weights[term], term
             for ch, to in self.children[node].items():
+                if not self.fuzzy[to]:
+                    continue
                 same = places.get(ch, 0)
                 new = [(reached[0] & same) << 1]
                 for e in range(1, bound + 1):
@@ -163,14 +201,13 @@ class Trie:
                     new.append(((reached[e] & same) << 1 | reached[e - 1] << 1 | reached[e - 1] | new[e - 1] << 1) & full)
                 if new[bound]:
                     stack.append((to, new))
-        return (best[2], -best[0]) if best else None
 
 
 class Model:
     """Lexicon, exempt forms and the logistic curve."""
 
-    def __init__(self, terms: dict[str, float], exempt: set[str], curve: tuple[float, float, float]):
-        self.trie, self.exempt, self.curve = Trie(terms), exempt, curve
+    def __init__(self, terms: dict[str, float], exempt: set[str], curve: tuple[float, float, float], exact: frozenset[str] = frozenset()):
+        self.trie, self.exempt, self.curve = Trie(terms, exact), exempt, curve
         self._known: dict[int, tuple[float, bool]] = {}
 
     def __getstate__(self) -> dict:
@@ -179,9 +216,11 @@ class Model:
     def weigh(self, token: str) -> tuple[float, bool]:
         """(weight of the term near the token or 0, whether it is a reporting word)."""
         word = normal_form(token)
-        if not word or len(word) > WORD_MOST or word in self.exempt:
+        if not word:
             return 0.0, False
         found = self.trie.nearest(word)
+        if found and found[1] and word in self.exempt:
+            found = None
         return (self.trie.weights[found[0]] * EDIT_KEEPS ** found[1] if found else 0.0), word in _REPORTING
 
     def sums(self, texts: list[str]) -> list[tuple[float, float]]:
@@ -235,14 +274,13 @@ _REPORTING = frozenset(REPORTING)
 
 
 def _quoted_spans(text: str) -> list[tuple[int, int]]:
-    """Spans between quotation marks on one line, at most 400 characters long."""
+    """Spans between quotation marks on one line."""
     out, opened, mark = [], -1, ""
     for at, ch in enumerate(text):
         if ch == "\n":
             opened = -1
         elif opened >= 0 and (ch == STRAIGHT == mark or mark != STRAIGHT and ch in CLOSING):
-            if at - opened <= 400:
-                out.append((opened, at + 1))
+            out.append((opened, at + 1))
             opened = -1
         elif opened < 0 and (ch == STRAIGHT or ch in OPENING):
             opened, mark = at, ch
@@ -253,7 +291,7 @@ def _words(text: str) -> Counter:
     found: Counter = Counter()
     for token, n in Counter((text or "").split()).items():
         word = normal_form(token)
-        if WORD_LEAST <= len(word) <= WORD_MOST:
+        if len(word) >= WORD_LEAST:
             found[word] += n
     return Counter({w: min(n, TEXT_MOST) for w, n in found.items()})
 
@@ -266,8 +304,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     sizes = {r["__label"]: r["n"] for r in chosen.groupBy("__label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
-        share = float(toxic > 0)
-        return Model({}, set(), (8.0 * share - 4.0 if toxic else -30.0, 0.0, 0.0))
+        return Model({}, set(), (4.0 if toxic else -30.0, 0.0, 0.0))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -281,38 +318,44 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
 
     words = rows.mapInArrow(count, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     words = cut(words)
-    each = words.select(F.explode(F.expr(f"transform(sequence({PREFIX_LEAST}, least({PREFIX_MOST}, length(word))), k -> substring(word, 1, k))")).alias("start"), "toxic", "clean")
+    each = words.select(F.explode(_starts()).alias("start"), "toxic", "clean")
     starts = each.groupBy("start").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count_if(F.col("toxic") > 0).alias("words"), F.max("toxic").alias("top"))
     starts = starts.where((F.col("words") >= PREFIX_WORDS) & (F.col("top") <= PREFIX_TOP * F.col("toxic"))).select(F.concat("start", F.lit("*")).alias("term"), "toxic", "clean")
     ratio = (F.col("toxic") / F.lit(toxic)) / ((F.col("clean") + 0.5) / F.lit(clean))
     terms = words.select(F.col("word").alias("term"), "toxic", "clean").union(starts).where(F.col("toxic") >= max(LEAST_TOXIC, LEAST_RATE * toxic)).withColumn("ratio", ratio).where(F.col("ratio") >= LEAST_RATIO)
-    picked = _pick([(r["term"], r["toxic"], r["ratio"]) for r in terms.orderBy(F.desc("toxic"), "term").limit(CANDIDATES).collect()])
+    # the rate bounds their number: a text of n words has part in n * TEXT_MOST / LEAST_RATE of all terms at most
+    picked = _pick([(r["term"], r["toxic"], r["ratio"]) for r in terms.orderBy("term").collect()])
     picked = _with_families(picked, words.where((F.col("toxic") > 0) & (ratio >= LEAST_RATIO)))
-    trie = Trie(picked)
-    # forms near a term that clean texts use: a word of its own, not a misspelling
+    used = words.select(F.col("word").alias("term"), "clean").union(each.groupBy(F.concat("start", F.lit("*")).alias("term")).agg(F.sum("clean").alias("clean")))
+    asked = docs.sparkSession.createDataFrame([(t,) for t in sorted(picked)], "term string")
+    plain_terms = frozenset(r["term"] for r in used.where(F.col("clean") > PLAIN_SHARE * clean).join(F.broadcast(asked), "term", "left_semi").collect())
+    shared_trie = docs.sparkSession.sparkContext.broadcast(Trie(picked, plain_terms))
+
+    # words that clean texts use near a term: words of their own, no misspellings
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = shared_trie.value
         for batch in batches:
-            out = []
-            for word in batch.column(0).to_pylist():
-                found = trie.nearest(word)
-                if found and found[1] > 0:
-                    out.append(word)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["word"])
-
-    plain = words.where((F.col("clean") > 0) & (ratio < 1)).select("word")
-    exempt = {r["word"] for r in plain.mapInArrow(near, "word string").orderBy("word").limit(100 * TERMS).collect()}
-    model = Model(picked, exempt, (0.0, 0.0, 0.0))
+            found = [(term, word) for word in batch.column(0).to_pylist() if trie._may_be_near(word) for edits, _, term in trie.near(word) if edits]
+            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([w for _, w in found], pa.string())], names=["term", "word"])
+
+    plain = words.where((F.col("clean") > 0) & (ratio < LEAST_RATIO)).select("word")
+    neighbours = cut(plain.mapInArrow(near, "term string, word string").distinct())
+    crowded = frozenset(r["term"] for r in neighbours.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NEIGHBOURS).collect())
+    # few words for each term that is left
+    exempt = {r["word"] for r in neighbours.where(~F.col("term").isin(*crowded) if crowded else F.lit(True)).select("word").distinct().collect()}
+    model = Model(picked, exempt, (0.0, 0.0, 0.0), crowded | plain_terms)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, texts in chunked(batch.column(2).to_pylist()):
-                part = batch.slice(at, len(texts))
-                sums = shared.value.sums(texts)
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), part.column(1), pa.array([x for x, _ in sums], pa.float64()), pa.array([x for _, x in sums], pa.float64())], names=["id", "label", "abuse", "quotation"])
-
-    points = sorted(map(tuple, rows.mapInArrow(summed, "id long, label int, abuse double, quotation double").collect()))
-    model.curve = _fit_curve(points)
+            for at, found in chunked(batch.column(2).to_pylist()):
+                part = batch.slice(at, len(found))
+                sums = shared.value.sums(found)
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array([x for x, _ in sums], pa.float64()), pa.array([x for _, x in sums], pa.float64())], names=["label", "abuse", "quotation"])
+
+    # equal points come as one with their number: a row for each kind of sum, however often ids repeat
+    points = rows.mapInArrow(summed, "label int, abuse double, quotation double").groupBy("label", "abuse", "quotation").agg(F.count(F.lit(1)).alias("n")).collect()
+    model.curve = _fit_curve(sorted((r["label"], r["abuse"], r["quotation"], r["n"]) for r in points))
     return model
 
 
@@ -321,21 +364,27 @@ def _counted(seen: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(every, pa.string()), pa.array([seen[1][w] for w in every], pa.int64()), pa.array([seen[0][w] for w in every], pa.int64())], names=["word", "toxic", "clean"])
 
 
+def _starts() -> Column:
+    return F.expr(f"transform(sequence({PREFIX_LEAST}, greatest({PREFIX_LEAST}, least({PREFIX_MOST}, length(word)))), k -> substring(word, 1, k))")
+
+
 def _pick(rows: list[tuple[str, int, float]]) -> dict[str, float]:
-    """Terms with their log-odds. Of nested beginnings the longest counts that keeps nearly all the occurrences of the
-    shortest; words with a chosen beginning come with its family."""
+    """Terms with their log-odds. Of nested beginnings the longest counts that keeps nearly all the texts of the shortest;
+    words with a chosen beginning come with its family."""
     starts = {t[:-1]: (n, r) for t, n, r in rows if t.endswith("*")}
-    picked: dict[str, float] = {}
+    below: dict[str, list[str]] = {}
     for start in sorted(starts, key=len):
-        if any(start[:k] in starts for k in range(PREFIX_LEAST, len(start))):
-            continue
-        longest = start
-        for other in sorted(starts, key=len):
-            if other.startswith(longest) and starts[other][0] >= 0.9 * starts[start][0]:
+        top = next((start[:k] for k in range(PREFIX_LEAST, len(start)) if start[:k] in starts), start)
+        below.setdefault(top, []).append(start)
+    picked: dict[str, float] = {}
+    for top, nested in below.items():
+        longest = top
+        for other in nested:
+            if other.startswith(longest) and starts[other][0] >= 0.9 * starts[top][0]:
                 longest = other
         picked[longest + "*"] = math.log(starts[longest][1])
     whole = [(t, r) for t, _, r in rows if not t.endswith("*") and not any(t[:k] + "*" in picked for k in range(PREFIX_LEAST, len(t) + 1))]
-    return dict([*picked.items(), *((t, math.log(r)) for t, r in whole)][:TERMS])
+    return picked | {t: math.log(r) for t, r in whole}
 
 
 def _with_families(picked: dict[str, float], words: DataFrame) -> dict[str, float]:
@@ -344,7 +393,7 @@ def _with_families(picked: dict[str, float], words: DataFrame) -> dict[str, floa
     if not starts:
         return picked
     firsts = words.sparkSession.createDataFrame([(s,) for s in starts], "start string")
-    rows = words.join(F.broadcast(firsts), F.col("word").startswith(F.col("start"))).orderBy(F.desc("toxic"), "word", F.desc(F.length("start"))).limit(CANDIDATES).collect()
+    rows = words.select("word", F.explode(_starts()).alias("start")).join(F.broadcast(firsts), "start").orderBy("word", F.desc(F.length("start"))).collect()
     out = dict(picked)
     for r in rows:
         out.setdefault(r["word"], picked[r["start"] + "*"])
@@ -353,15 +402,15 @@ def _with_families(picked: dict[str, float], words: DataFrame) -> dict[str, floa
 
 def _fit_curve(points: list[tuple]) -> tuple[float, float, float]:
     """Shift and slopes of a logistic curve over log sums; slopes have a prior that keeps them above 0 without evidence."""
-    x = np.array([[1.0, math.log1p(a), math.log1p(q)] for _, _, a, q in points])
-    y = np.array([p[1] for p in points], dtype=float)
-    prior = np.array([math.log((y.sum() + 1) / (len(y) - y.sum() + 1)), 2.0, 0.0])
+    x = np.array([[1.0, math.log1p(a), math.log1p(q)] for _, a, q, _ in points])
+    y, n = (np.array([p[k] for p in points], dtype=float) for k in (0, 3))
+    prior = np.array([math.log(((n * y).sum() + 1) / ((n * (1 - y)).sum() + 1)), 2.0, 0.0])
     tight = np.array([1e-3, 0.05, 0.5])
     beta = prior.copy()
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(tight)
-        step = np.linalg.solve(hessian, x.T @ (y - p) - tight * (beta - prior))
+        hessian = (x * (n * p * (1 - p))[:, None]).T @ x + np.diag(tight)
+        step = np.linalg.solve(hessian, x.T @ (n * (y - p)) - tight * (beta - prior))
         step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
         beta += step
         if np.abs(step).max() < 1e-9:

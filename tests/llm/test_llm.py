@@ -262,10 +262,61 @@ def test_toxicity_in_context():
     assert score("the word idiot has a long history") < 0.5 and score("") < 0.1
 
 
+def test_misspelled_and_quoted_terms_over_a_whole_table(spark):
+    """Terms of every other toxic text misspelled, quoted terms put into clean texts: hits with edits and in quotation count."""
+    sf, rng = "/root/testdata/sf0.1", random.Random(11)
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null").collect()}
+    terms = "clown disgusting idiot loser moron pathetic stupid trash worthless".split()
+
+    def misspelled(word):
+        at = rng.randrange(1, len(word) - 1)
+        return rng.choice([word[:at] + word[at + 1 :], word[:at] + word[at] + word[at:], word.replace("i", "1", 1).replace("o", "0", 1)])
+
+    rows, changed, quoting = [], [], []
+    for r in spark.read.parquet(f"{sf}/documents.parquet").where("lang = 'en'").collect():
+        if r.doc_id not in labels or not r.text:
+            continue
+        words = r.text.split(" ")
+        if labels[r.doc_id] and r.doc_id % 2 and any(w in terms for w in words):
+            words = [misspelled(w) if w in terms else w for w in words]
+            changed.append(r.doc_id)
+        elif not labels[r.doc_id] and r.doc_id % 5 == 0:
+            words += ["They", "said", f'"{rng.choice(terms)}"', "and", f'"{rng.choice(terms)}",', "no", "more."]
+            quoting.append(r.doc_id)
+        rows.append((r.doc_id, " ".join(words), labels[r.doc_id]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.learn(docs, docs.where("doc_id % 3 <> 0").select("doc_id", "toxic"))
+    assert 0 < model.curve[1] and model.curve[2] < model.curve[1]
+    text = {i: t for i, t, _ in rows}
+    edits = [model.trie.nearest(toxicity.normal_form(w)) for i in changed for w in text[i].split()]
+    assert sum(f is not None and f[1] > 0 for f in edits) >= len(changed) // 2
+    assert sum(model.sums([text[i]])[0][1] > 0 for i in quoting) >= 0.9 * len(quoting)
+    score = {i: model.curve_score(model.sums([t])[0]) for i, t, _ in rows}
+    held = [i for i in score if i % 3 == 0]
+    right = lambda ids, yes: sum((score[i] >= 0.5) == yes for i in ids) / max(1, len(ids))
+    assert right([i for i in held if i in changed], True) >= 0.8
+    assert right([i for i in held if i in quoting], False) >= 0.9
+
+
+def test_automaton_finds_misspelled_beginnings():
+    trie = toxicity.Trie({"worthl*": 8.0, "scum": 7.0, "trash*": 6.0}, frozenset({"trash*"}))
+    assert trie.nearest("worthlessness") == ("worthl*", 0) and trie.nearest("wrthlessness") == ("worthl*", 1) and trie.nearest("worhtxyz") is None
+    assert trie.nearest("trashy") == ("trash*", 0) and trie.nearest("tashy") is None and trie.nearest("scun") is None
+    assert trie.nearest("worthl" + "x" * 100_000) == ("worthl*", 0) and trie.nearest("wothl" + "x" * 100_000) == ("worthl*", 1)
+    model = toxicity.Model({"worthl*": 8.0}, {"wothless"}, (-4.0, 3.0, 0.0))
+    assert model.weigh("wothless")[0] == 0 and model.weigh("worthless")[0] == 8.0
+
+
 def test_toxicity_of_awkward_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.learn(awkward(spark), labels)
     assert toxicity.scored(awkward(spark), model, ["doc_id", "id"]).where("score > 0.01").isEmpty()
+    assert toxicity.scored(none(spark), model, ["doc_id"]).isEmpty() and toxicity.learn(none(spark), labels).curve == model.curve
+    both = spark.createDataFrame([(4, 1), (6, 0), (None, 1), (2, None)], "doc_id long, toxic int")
+    got = toxicity.scored(awkward(spark).withColumn("score", F.lit(9)), toxicity.learn(awkward(spark), both), ["doc_id", "score"])
+    assert got.columns == ["doc_id", "score"] and got.where("score is null or score < 0 or score > 1").isEmpty()
+    ones = toxicity.learn(awkward(spark), spark.createDataFrame([(4, 1)], "doc_id long, toxic int"))
+    assert toxicity.scored(awkward(spark), ones, ["doc_id"]).where("score < 0.9").isEmpty()
 
 
 @pytest.mark.parametrize("make", [awkward, none])
