@@ -1,11 +1,12 @@
 """Near-duplicate documents by improved consistent weighted sampling over TF-IDF word shingles.
 
-1. Document frequencies of all five-word shingles are counted over the whole corpus in a sketch of fixed size
-   (several rows of counters, a shingle's count is the least of its counters after taking off what others add on
-   average). Rare shingles come out as 1, frequent ones close to the truth.
-2. A shingle weighs (1 + ln tf) * idf with idf = 1 + IDF_SHARE * ln(N / df) / ln N, so that between 1 and
-   1 + IDF_SHARE. The share is small on purpose: inside a large group of near copies the common shingles are frequent
-   and the changed ones rare, and a plain idf would push such copies below the threshold.
+1. Document frequencies of all five-word shingles are counted over the whole corpus in a sketch (several rows of counters, a
+   shingle's count is the least of its counters after taking off what others add on average), sized by the number of texts
+   up to a bound. Rare shingles come out as 1 or little more, frequent ones close to the truth.
+2. A shingle weighs (1 + ln tf) * idf with idf = 1 + IDF_SHARE * ln(N / df) / ln N, so that between 1 and 1 + IDF_SHARE:
+   a rare shingle counts that much more than one which every text has. The share is bounded because near copies must stay
+   near: inside a group of copies with a third of all rows the common shingles are the frequent ones and the changed ones
+   rare, and an idf without bound would make any change weigh more than all that is common.
 3. Each text gets HASHES samples by ICWS (more for low thresholds). The random numbers of a (shingle, hash number) pair are taken from a table,
    and ln a of each (table entry, weight level) is computed beforehand, so that a sample costs one lookup. Weights
    count in steps of 1/64 of their logarithm to base e, for sampling and verifying alike.
@@ -18,11 +19,13 @@
    1 or more. Banding is thus the one step that can miss a pair; bands and rows follow from the threshold (`banding`).
 5. Pairs are verified by exact weighted Jaccard similarity. Classes are the connected components of verified pairs.
 
-No group is collected in one task: buckets meet by sort-merge joins, which adaptive execution splits when skewed.
+No group is collected in one task: equal texts are merged within tasks before they are shuffled, and buckets and classes
+meet by sort-merge joins of written tables, which adaptive execution splits when skewed.
 
 Null text: a class of its own. Text without any word: classed by equal text alone. Fewer than five words: one shingle.
 Equal texts are one class, even if doc_ids repeat; rows of a repeated doc_id are classed by their own text. A null
-doc_id is kept; the class id is the least id in the class, null if it has none.
+doc_id is kept; the class id is the least id in the class, null if it has none. Very long texts are read whole. Ties in
+sampling go to the least shingle. An empty table gives an empty result. Only key and text are read: others cannot clash.
 """
 
 from __future__ import annotations
@@ -44,22 +47,24 @@ THRESHOLD = 0.8
 HASHES = 56
 #: Most pairs at the threshold that may share no band, as a share.
 MISSED = 1e-3
-IDF_SHARE = 0.02
+IDF_SHARE = 0.25
 #: Rounds of each text against the first of one bucket, and of one outsider against its bucket, before all that are left.
 FIRSTS, STARS = 2, 2
 #: Links that one task may finish: some 30 MB.
 FEW_LINKS = 200_000
 #: Longs of a text's bitmap of shingles.
 BITMAP = 16
-SKETCH_ROWS, SKETCH_BITS, BLOCK = 2, 18, 4096
+#: Rows of the sketch, the least and most bits of a counter's number, counters a text, and counters in a block.
+SKETCH_ROWS, SKETCH_BITS, COUNTERS, BLOCK = 2, (18, 21), 8, 8192
 ENTRY_BITS, STEPS_PER_E, LEVELS = 13, 64, 192
 
 
 def doc_frequencies(docs: DataFrame, text: str, size: int) -> tuple[np.ndarray, int]:
-    """The sketch of document frequencies (SKETCH_ROWS x 2^SKETCH_BITS counters) and the number of texts with words."""
+    """The sketch of document frequencies (SKETCH_ROWS rows of counters) and the number of texts with words."""
+    bits = min(max((COUNTERS * docs.count()).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((SKETCH_ROWS, 1 << SKETCH_BITS), dtype=np.int64)
+        table = np.zeros((SKETCH_ROWS, 1 << bits), dtype=np.int64)
         seen = 0
         for batch in batches:
             for _, texts in chunked(batch.column(0).to_pylist()):
@@ -72,42 +77,51 @@ def doc_frequencies(docs: DataFrame, text: str, size: int) -> tuple[np.ndarray,
                 if found:
                     every = np.concatenate(found)
                     for r in range(SKETCH_ROWS):
-                        table[r] += np.bincount(_counter(every, r), minlength=1 << SKETCH_BITS)
+                        table[r] += np.bincount(_counter(every, r, bits), minlength=1 << bits)
         if seen:
-            flat = table.reshape(-1, BLOCK)
-            yield pa.RecordBatch.from_pydict({"block": pa.array([*range(len(flat)), -1], pa.int32()), "counts": pa.array([*(row.tobytes() for row in flat), np.int64(seen).tobytes()], pa.binary())})
+            # a counter takes as few bytes as the block's greatest needs, and blocks of nothing stay away
+            flat = [(k, _narrow(row)) for k, row in enumerate(table.reshape(-1, BLOCK)) if row.any()]
+            yield pa.RecordBatch.from_pydict({"block": pa.array([k for k, _ in flat] + [-1], pa.int32()), "width": pa.array([x.itemsize for _, x in flat] + [8], pa.int32()), "counts": pa.array([x.tobytes() for _, x in flat] + [np.uint64(seen).tobytes()], pa.binary())})
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
-        total = np.sum([np.frombuffer(x.as_py(), dtype=np.int64) for x in table.column("counts")], axis=0)
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+        total = sum(np.frombuffer(x.as_py(), dtype=f"u{w.as_py()}").astype(np.uint64) for w, x in zip(table.column("width"), table.column("counts")))
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "width": pa.array([8], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
-    schema = "block int, counts binary"
-    # summed in two steps, so that no task reads a row from every task before it
+    schema = "block int, width int, counts binary"
+    # summed by block: each task gets some blocks of all tasks before it, the driver a sketch of bounded size
     parts = docs.select(F.col(text).alias("text")).mapInArrow(count, schema)
-    rows = {r["block"]: np.frombuffer(r["counts"], dtype=np.int64) for r in parts.groupBy("block").applyInArrow(add, schema).collect()}
-    if not rows:
-        return np.zeros((SKETCH_ROWS, 1 << SKETCH_BITS), dtype=np.int64), 0
-    flat = np.concatenate([rows[k] for k in range(len(rows) - 1)])
-    return flat.reshape(SKETCH_ROWS, -1), int(rows[-1][0])
+    sketch = np.zeros((SKETCH_ROWS << bits) // BLOCK * BLOCK, dtype=np.int64).reshape(-1, BLOCK)
+    n = 0
+    for r in parts.groupBy("block").applyInArrow(add, schema).collect():
+        values = np.frombuffer(r["counts"], dtype=np.uint64).astype(np.int64)
+        if r["block"] < 0:
+            n = int(values[0])
+        else:
+            sketch[r["block"]] = values
+    return sketch.reshape(SKETCH_ROWS, -1), n
+
+
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    return counts.astype(next(kind for kind in (np.uint8, np.uint16, np.uint32, np.uint64) if counts.max() <= np.iinfo(kind).max))
 
 
-def _counter(h: np.ndarray, row: int) -> np.ndarray:
-    return ((h >> np.uint64(row * SKETCH_BITS)) & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
+def _counter(h: np.ndarray, row: int, bits: int) -> np.ndarray:
+    return ((h >> np.uint64(row * bits)) & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 class Weigher:
     """Weight levels of a text's shingles; a level is the weight's logarithm in steps, the same everywhere."""
 
-    def __init__(self, sketch: np.ndarray, n: int, size: int):
-        self.size, self.n = size, max(n, 2)
-        mean = sketch.mean(axis=1, keepdims=True)
-        self.counts = np.maximum(sketch - mean, 1.0).astype(np.float32)
+    def __init__(self, sketch: np.ndarray, n: int, size: int, idf_share: float = IDF_SHARE):
+        self.size, self.n, self.share = size, max(n, 2), idf_share
+        self.bits = sketch.shape[1].bit_length() - 1
+        self.counts = np.maximum(sketch - sketch.mean(axis=1, keepdims=True), 1.0).astype(np.float32)
 
     def levels(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct shingles in ascending order and their weight levels."""
         found, tf = np.unique(shingles(hashes, self.size), return_counts=True)
-        df = np.min([self.counts[r][_counter(found, r)] for r in range(SKETCH_ROWS)], axis=0) if len(found) else np.ones(0)
-        idf = 1 + IDF_SHARE * np.clip(np.log(self.n / np.minimum(df, self.n)) / math.log(self.n), 0, 1)
+        df = np.min([self.counts[r][_counter(found, r, self.bits)] for r in range(SKETCH_ROWS)], axis=0) if len(found) else np.ones(0)
+        idf = 1 + self.share * np.clip(np.log(self.n / np.minimum(df, self.n)) / math.log(self.n), 0, 1)
         weight = (1 + np.log(tf)) * idf
         return found, np.minimum(np.rint(np.log(weight) * STEPS_PER_E), LEVELS - 1).astype(np.int64)
 
@@ -215,7 +229,8 @@ def _verified(pairs: DataFrame, weighed: DataFrame, threshold: float) -> DataFra
 
 def _weighed(docs: DataFrame, text: str, wanted: DataFrame, shared) -> DataFrame:
     """(same, found, level, bits): distinct shingles, their weight levels and bitmap of each text in `wanted`."""
-    rows = docs.select(F.md5(F.col(text)).alias("same"), F.col(text).alias("text")).join(wanted, "same", "left_semi").dropDuplicates(["same"])
+    # equal texts are merged within tasks first, so that no group of copies is shuffled whole
+    rows = docs.select(F.md5(F.col(text)).alias("same"), F.col(text).alias("text")).where("same is not null").groupBy("same").agg(F.first("text").alias("text")).join(wanted, "same", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,11 +290,11 @@ def _renamed(rows: DataFrame, column: str, stars: DataFrame) -> DataFrame:
     return rows.join(names, column, "left").withColumn(column, F.coalesce("__to", column)).select(*rows.columns)
 
 
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, threshold: float = THRESHOLD) -> DataFrame:
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, threshold: float = THRESHOLD, idf_share: float = IDF_SHARE) -> DataFrame:
     """(id, class_id, class_size) of each row of `docs`: class_id is the least id of the row's near-duplicate class."""
     spark = docs.sparkSession
     sketch, n = doc_frequencies(docs, text, size)
-    shared = spark.sparkContext.broadcast(Weigher(sketch, n, size))
+    shared = spark.sparkContext.broadcast(Weigher(sketch, n, size, idf_share))
     signed = cut(_signed(docs, key, text, shared, threshold))
     merged = cut(signed.where("same is not null and bands is not null").groupBy("same").agg(F.first("bands").alias("bands"), F.first("total").alias("total")))
 
@@ -308,7 +323,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     named = signed.select("id", "same").join(labels, "same", "left")
     # null text: no digest, so the id itself keeps the rows apart
     named = cut(named.select("id", F.coalesce("label", "same", F.concat(F.lit("null "), F.coalesce(F.col("id").cast("string"), F.lit("")))).alias("label")))
-    sizes = named.groupBy("label").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    # written, so that a large class stands in the join as a plain shuffle, which can be split
+    sizes = cut(named.groupBy("label").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
     return named.join(sizes, "label").select("id", "class_id", "class_size")
 
 
