@@ -12,8 +12,11 @@ Scale: one pass over the texts gives a slim table (id, source, size, u), which i
 order is cut is found from a histogram over BUCKETS parts of the order, so that only the one part it falls in is sorted,
 whatever the share of the source. Sources themselves are sorted in one task: there is one row for each.
 
-Null text has size 0; null sources are one source that comes last; null ids hash as ''. Rows with equal ids (and so equal
-u) are taken or left together. Empty table: empty result. Sizes of 0 give targets of 0 and no words.
+Null text has size 0; null sources are one source that comes last; a row with a null id has the hash of its text, so that
+many such rows do not stand or fall together. Rows with equal ids, and null ids with equal texts, have one u: they are
+taken or left together, and the cut comes as near to the target as such a tie allows. Very long texts are counted whole.
+Empty table: empty result. Sizes of 0 give targets of 0 and no words. Columns of `docs` stay together as one struct until
+the end, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,9 +35,9 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def uniform(key: Column, seed: str) -> Column:
-    """A number between 0 and 1, never either, from 52 bits of a hash of seed and key."""
-    digest = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(key.cast("string"), F.lit(""))))
+def uniform(key: Column, seed: str, text: Column) -> Column:
+    """A number between 0 and 1, never either, from 52 bits of a hash of seed and key, or of the text where that is null."""
+    digest = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(key.cast("string"), F.concat(F.lit("null "), F.md5(F.coalesce(text, F.lit("")))))))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long").cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
@@ -59,7 +62,7 @@ class Mix:
     def __init__(self, docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weight: str | None = None, share: float = SHARE, repeats: float = REPEATS, weights: tuple[int, ...] = WEIGHTS, seed: str = SEED):
         self.repeats, self.seed, self.weighted = repeats, seed, weight is not None
         w = F.coalesce(F.col(weight).cast("double"), F.lit(0.0)) if weight else F.lit(1.0)
-        self.slim = cut(docs.select(F.col(key).alias("id"), F.col(source).cast("string").alias("source"), size_of(F.col(text)).alias("size"), uniform(F.col(key), seed).alias("u"), w.alias("w")))
+        self.slim = cut(docs.select(F.col(key).alias("id"), F.col(source).cast("string").alias("source"), size_of(F.col(text)).alias("size"), uniform(F.col(key), seed, F.col(text)).alias("u"), w.alias("w")))
         sums = self.slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("w") * F.col("size")).alias("weighted"))
         aims = targets(sums.select("source", "source_size"), share, repeats, weights)
         aims = cut(aims.alias("t").join(sums.alias("s"), F.col("t.source").eqNullSafe(F.col("s.source"))).select("t.source", "t.source_size", "target", "weighted"))
@@ -98,12 +101,12 @@ class Mix:
         """(id, size, source_size, target, taken) of each row."""
         return self._with_copies(self.slim).select("id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
-    def taken(self, docs: DataFrame, key: str = "doc_id", source: str = "source") -> DataFrame:
+    def taken(self, docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
         """The rows of `docs`, each as often as the mix takes it. Without a weight column only."""
         if self.weighted:
             raise ValueError("rows carry no weight here; join table() instead")
         own = docs.columns
-        rows = docs.select(F.struct(*own).alias("__row"), F.col(source).cast("string").alias("source"), uniform(F.col(key), self.seed).alias("u"))
+        rows = docs.select(F.struct(*own).alias("__row"), F.col(source).cast("string").alias("source"), uniform(F.col(key), self.seed, F.col(text)).alias("u"))
         return self._with_copies(rows).where("copies > 0").withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("__row.*")
 
 
@@ -111,7 +114,7 @@ class Mix:
 ORACLE = r"""
 with slim as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
-    (('0x' || substr(md5('mix-1|' || coalesce(doc_id::varchar, '')), 1, 13))::bigint::double + 0.5) / 4503599627370496.0::double as u
+    (('0x' || substr(md5('mix-1|' || coalesce(doc_id::varchar, 'null ' || md5(coalesce(text, '')))), 1, 13))::bigint::double + 0.5) / 4503599627370496.0::double as u
   from documents),
 sums as (select source, sum(size)::bigint as source_size from slim group by source),
 weighed as (select *, [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3)::int + 1] as weight from sums),
