@@ -6,11 +6,14 @@ numbers. Each indicator is scaled by its class log-count ratio; a linear model w
 the scaled indicators by dual coordinate descent, then mixed with the plain Naive Bayes weights. A logistic curve
 fitted to margins of rows left out of folds turns margins into probabilities.
 
-The model is fitted on at most FIT_ROWS labelled rows, those with the least hash of their id; scoring reads whole texts.
+The model is fitted on at most FIT_ROWS labelled rows, those with the least hash of their id, and on no more than
+FIT_BYTES of their features, so that the driver's share is bounded however long texts are and however often ids repeat;
+scoring reads whole texts.
 
 Null or empty text has no features and gets the score of a margin of the intercept alone. Labels that are null are left
 out; ids labelled more than once count once for each label row. With no labelled row, or labels of one class only, the
-score is the share of label 1 (0.5 with none). Repeated rows give repeated scores.
+score is the share of label 1 (0.5 with none). Repeated rows give repeated scores. Ties in the order of fitting go by id, label
+and features. An empty table gives an empty result. A kept column named score gives way to the result's own.
 """
 
 from __future__ import annotations
@@ -19,13 +22,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweave.llm.textkernel import Tokens, Words, chunked, mix
+from tallyweave.session import cut
 
 #: Bound of the labelled rows that a model is fitted on.
 FIT_ROWS = 12_000
+#: Bound of the fitted rows' features in bytes, four each; a row that would pass it and all after it are left out.
+FIT_BYTES = 192 << 20
 FEATURES = 1 << 18
 ORDER = 3
 SMOOTHING, MIXED, COST, EPOCHS, FOLDS = 1.0, 0.25, 0.1, 12, 3
@@ -153,7 +159,12 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
                 part = batch.slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), part.column(1), pa.array([x.astype("<i4").tobytes() for x in features(texts)], pa.binary())], names=["id", "label", "found"])
 
-    rows = source.mapInArrow(run, "id long, label int, found binary").collect()
+    found = cut(source.mapInArrow(run, "id long, label int, found binary"))
+    order = [F.xxhash64("id"), "id", "label", F.md5("found")]
+    # at most fit_rows rows from here on, of which only sizes are added up in order
+    first = found.orderBy(*order).limit(fit_rows)
+    before = F.sum(F.length("found").cast("long")).over(Window.orderBy(*order))
+    rows = first.withColumn("upto", before).where(F.col("upto") <= FIT_BYTES).select("id", "label", "found").collect()
     rows.sort(key=lambda r: (r["id"], r["label"], r["found"]))
     return fit([np.frombuffer(r["found"], dtype="<i4") for r in rows], np.array([r["label"] for r in rows], dtype=np.int64))
 
