@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import unicodedata
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyweave.llm import audio, bpe, langid, lengths, mixing, neardup, nearest, pii, quality, registry, toxicity
-from tallyweave.llm.textkernel import Words
+from tallyweave.llm.textkernel import Words, shingles
 
 SF = "/root/testdata/sf0.001"
 WORDS = [a + b for a in "ba be bi bo bu da de di do du ka ke ki ko ku la le li lo lu".split() for b in "nar ten mis gol dur".split()]
@@ -76,6 +77,45 @@ def test_near_duplicates_equal_all_pairs(spark):
     assert [found[i] for i in range(len(texts))] == label
 
 
+def test_near_duplicates_of_a_whole_table(spark):
+    """All pairs of texts with a shingle in common, weighed alike: every one at the threshold shares a class, at most 0.1 % missed."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    weigher = neardup.Weigher(*neardup.doc_frequencies(docs, "text", 5), 5)
+    class_of = {r.id: r.class_id for r in neardup.classes(docs).collect()}
+    first: dict = {}
+    for r in docs.select("doc_id", "text").where("text is not null").orderBy("doc_id").collect():
+        assert class_of[first.setdefault(r.text, r.doc_id)] == class_of[r.doc_id]
+    weighed = {i: weigher.levels(Words([t]).hashes) for t, i in first.items()}
+    weight = {i: neardup.LEVEL_WEIGHTS[level].sum() for i, (_, level) in weighed.items()}
+    having: dict = {}
+    for i, (found, _) in weighed.items():
+        for h in found.tolist():
+            having.setdefault(h, []).append(i)
+    pairs = {(a, b) for ids in having.values() for k, b in enumerate(ids) for a in ids[:k] if min(weight[a], weight[b]) >= 0.8 * max(weight[a], weight[b])}
+    near = [(a, b) for a, b in pairs if neardup.similarity(weighed[a], weighed[b]) >= 0.8]
+    assert len(near) > 50 and sum(class_of[a] != class_of[b] for a, b in near) <= 0.001 * len(near)
+    # and no class holds texts without a chain of such pairs
+    top = {i: i for i in weighed}
+    for a, b in near:
+        ra, rb = a, b
+        while top[ra] != ra:
+            ra = top[ra]
+        while top[rb] != rb:
+            rb = top[rb]
+        top[max(ra, rb)] = min(ra, rb)
+    roots = {i for i in top if top[i] == i}
+    assert len(roots) <= len({class_of[i] for i in weighed}) <= len(roots) + 0.001 * len(near)
+
+
+def test_rarer_shingles_weigh_more(spark):
+    texts = [f"common words that all have here unique{i}a unique{i}b unique{i}c unique{i}d unique{i}e" for i in range(400)]
+    sketch, n = neardup.doc_frequencies(spark.createDataFrame([(t,) for t in texts], "text string"), "text", 5)
+    found, level = neardup.Weigher(sketch, n, 5).levels(Words([texts[0]]).hashes)
+    weight = dict(zip(found.tolist(), neardup.LEVEL_WEIGHTS[level]))
+    alone = [weight[h] for h in shingles(Words([texts[0]]).hashes, 5).tolist()]
+    assert n == 400 and abs(alone[0] - 1.0) < 0.02 and abs(alone[-1] - 1.25) < 0.02
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     got = sorted((r.id or 0, r.class_id or 0, r.class_size) for r in neardup.classes(awkward(spark)).collect())
     assert got == [(0, 0, 1), (1, 1, 1), (2, 2, 1), (3, 3, 1), (4, 4, 3), (4, 4, 3), (5, 4, 3), (6, 6, 1)]
@@ -125,6 +165,9 @@ def test_mix(spark):
     mix = mixing.Mix(awkward(spark))
     assert mix.table().count() == 8 and mix.taken(awkward(spark)).columns == awkward(spark).columns
     assert mixing.Mix(none(spark)).table().isEmpty()
+    rows = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat_ws(" ", F.lit("a"), F.col("id")).alias("text"), F.lit("s").alias("source"))
+    some = mixing.Mix(rows.withColumn("id", F.lit("clash"))).table().agg(F.sum("taken"), F.sum("size")).first()
+    assert abs(some[0] - 1.5 * some[1]) <= 2
 
 
 def test_fingerprints_align_shifted_recordings(spark):
@@ -187,10 +230,76 @@ def test_quality_on_held_out_rows(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     got = registry.op7_quality(spark, "/root/testdata/sf0.01").where("held_out").join(labels, "doc_id")
     assert got.where("predicted = quality").count() >= 0.9 * got.count()
+    assert quality.scored(none(spark), quality.learn(none(spark), labels), ["doc_id"]).isEmpty()
+    many = spark.createDataFrame([(4, 1), (4, 1), (6, 0), (None, 1), (2, None)], "doc_id long, quality int")
+    model = quality.learn(awkward(spark), many)
+    got = quality.scored(awkward(spark).withColumn("score", F.lit(9)), model, ["doc_id", "score"])
+    assert got.columns == ["doc_id", "score"] and got.where("score is null or score < 0 or score > 1").isEmpty()
     model = quality.learn(awkward(spark), labels.limit(0))
     assert quality.scored(awkward(spark), model, ["doc_id", "id"]).where("score <> 0.5").isEmpty()
 
 
+def test_quality_equals_a_plain_fit(spark):
+    """Indicators scaled by log-count ratios and a squared hinge loss, minimised by plain gradient steps on dense rows: the
+    same weights as by dual coordinate descent; and scores that are the stated curve over them."""
+    rng = np.random.default_rng(5)
+    rows = [np.unique(rng.integers(0, 30, rng.integers(3, 12))).astype(np.int32) for _ in range(120)]
+    label = np.array([int(3 in r or 7 in r) for r in rows])
+    label[::11] ^= 1
+    dense = np.zeros((len(rows), 31))
+    for k, r in enumerate(rows):
+        dense[k, r] = 1
+    pos, neg = (quality.SMOOTHING + dense[label == y][:, :30].sum(axis=0) for y in (1, 0))
+    ratio = np.log(pos / pos.sum()) - np.log(neg / neg.sum())
+    x = np.hstack([dense[:, :30] * ratio / np.sqrt(dense[:, :30].sum(axis=1, keepdims=True)), np.ones((len(rows), 1))])
+    y = np.where(label == 1, 1.0, -1.0)
+    cost = np.where(label == 1, quality.COST / (2 * label.mean()), quality.COST / (2 * (1 - label.mean())))
+    w = np.zeros(31)
+    for _ in range(20_000):
+        slack = np.maximum(0, 1 - y * (x @ w))
+        w -= 0.05 * (w - 2 * x.T @ (cost * y * slack))
+    values = np.zeros(quality.FEATURES)
+    values[:30] = ratio
+    mine, intercept = quality._descend(rows, values, y, cost, 1)
+    assert np.abs(mine[:30] - w[:30]).max() < 0.02 and abs(intercept - w[30]) < 0.02
+    model = quality.fit(rows, label)
+    margin = [sum(model.weights[f] for f in r) / len(r) ** 0.5 + model.intercept for r in rows]
+    assert np.abs(np.array([model.score(r) for r in rows]) - 1 / (1 + np.exp(-(model.slope * np.array(margin) + model.shift)))).max() < 1e-12
+
+
+def test_language_equals_plain_profiles(spark):
+    """Counting, ranking and out-of-place distances in plain Python, for every text of a table."""
+    from collections import Counter
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+
+    def grams(text):
+        out = Counter()
+        for word in "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in text.lower()).split():
+            padded = f" {word} "
+            out.update(c for c in word)
+            out.update(padded[k : k + 2] for k in range(len(padded) - 1))
+            out.update(padded[k : k + 3] for k in range(len(padded) - 2))
+        return out
+
+    def ranked(counts):
+        # packed as three numbers of 21 bits: shorter n-grams are smaller numbers
+        number = lambda g: sum(ord(c) << 21 * (len(g) - 1 - k) for k, c in enumerate(g))
+        return {g: k for k, (g, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], number(x[0])))[: langid.PROFILE_SIZE])}
+
+    rows = docs.collect()
+    learned: dict = {}
+    for r in rows:
+        if r.lang is not None:
+            learned.setdefault(r.lang, Counter()).update(grams(r.text or ""))
+    profiles = {name: ranked(c) for name, c in sorted(learned.items())}
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, langid.learn(docs), ["doc_id"]).collect()}
+    for r in rows:
+        own = ranked(grams(r.text or ""))
+        away = {name: sum(abs(p[g] - k) if g in p else langid.PROFILE_SIZE for g, k in own.items()) for name, p in profiles.items()}
+        assert got[r.doc_id] == (min(away, key=lambda n: (away[n], n)) if own else "und"), r.doc_id
+
+
 def test_lengths_equal_plain_sums(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     sizes = [r.n_tokens for r in bpe.encode(docs, registry.TOKENIZER, [], want=("n_tokens",)).collect()]
