@@ -302,7 +302,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     weighed = cut(_weighed(docs, text, live.select("same").distinct(), shared))
     ones = sum((F.bit_count(F.get("bits", F.lit(k))) for k in range(BITMAP)), F.lit(0))
     # spare: weight beyond 1 for each bit
-    carried = cut(merged.select("same", "total").join(weighed.select("same", "bits"), "same").withColumn("spare", F.col("total") - ones))
+    carried = merged.select("same", "total", F.transform("bands", lambda key, band: F.xxhash64(band, key)).alias("buckets")).join(weighed.select("same", "bits"), "same")
+    carried = cut(carried.withColumn("spare", F.col("total") - ones))
     # (same, label) of all texts in buckets
     labels = cut(live.select("same", F.col("same").alias("label")).distinct())
     for turn in range(FIRSTS + STARS + 2):
@@ -350,6 +351,11 @@ def _near(threshold: float) -> Column:
     return (F.least("total_a", "total_b") >= threshold * F.greatest("total_a", "total_b")) & (common * (1 + threshold) >= threshold * (F.col("total_a") + F.col("total_b")))
 
 
+def _side(carried: DataFrame, x: str, *more: str) -> DataFrame:
+    """What is known of a text, under the name of its place in a pair."""
+    return carried.select(F.col("same").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("total", "bits", "spare", *more)])
+
+
 def _with_firsts(live: DataFrame, carried: DataFrame, threshold: float, turn: int | None) -> DataFrame:
     """Each text outside its bucket's main class and the bucket's first; with a turn, of one bucket for each text."""
     outside = live.where("label <> main").select(F.col("first").alias("a"), F.col("same").alias("b"))
@@ -359,7 +365,7 @@ def _with_firsts(live: DataFrame, carried: DataFrame, threshold: float, turn: in
         # large buckets tend to have low firsts: they come at the first turn
         order = F.struct("a") if turn == 0 else F.struct(F.xxhash64("a", F.lit(turn)), "a")
         outside = outside.groupBy("b").agg(F.min(order)["a"].alias("a"))
-    met = outside.join(carried.toDF("a", "total_a", "bits_a", "spare_a"), "a").join(carried.toDF("b", "total_b", "bits_b", "spare_b"), "b")
+    met = outside.join(_side(carried, "a"), "a").join(_side(carried, "b"), "b")
     return met.where(_near(threshold)).select("a", "b")
 
 
@@ -367,16 +373,17 @@ def _left_out(live: DataFrame, carried: DataFrame, threshold: float, turn: int |
     """Candidate pairs of members of one bucket in different classes.
 
     Members outside the class of the bucket's first start pairs: with a turn one of them, another each turn, otherwise
-    all. Total weights and bitmaps are looked at within the join.
+    all. Total weights and bitmaps are looked at within the join, and of all buckets that a pair shares (none is settled, as
+    the pair is of two classes) only the first lets it through, so that a pair comes up once however alike the texts are.
     """
     outside = live.where("label <> main")
     if turn is not None:
         # one bucket of the same outsiders is enough
         one = outside.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("same", F.lit(turn)), "same"))["same"].alias("same"))
         outside = outside.join(one, ["bucket", "same"], "left_semi")
-    left = outside.select("bucket", F.col("same").alias("a"), F.col("label").alias("label_a"), "main").join(carried.toDF("a", "total_a", "bits_a", "spare_a"), "a")
+    left = outside.select("bucket", F.col("same").alias("a"), F.col("label").alias("label_a"), "main").join(_side(carried, "a", "buckets"), "a")
     members = live.where("same <> first")
-    right = members.select(F.col("bucket").alias("bucket_b"), F.col("same").alias("b"), F.col("label").alias("label_b")).join(carried.toDF("b", "total_b", "bits_b", "spare_b"), "b")
-    once = F.lit(True) if turn is not None else (F.col("a") < F.col("b")) | (F.col("label_b") == F.col("main"))
-    met = left.join(right, (F.col("bucket") == F.col("bucket_b")) & (F.col("label_a") != F.col("label_b")) & once & _near(threshold))
+    right = members.select(F.col("bucket").alias("bucket_b"), F.col("same").alias("b"), F.col("label").alias("label_b")).join(_side(carried, "b", "buckets"), "b")
+    once = F.lit(True) if turn is not None else ((F.col("a") < F.col("b")) | (F.col("label_b") == F.col("main"))) & (F.get(F.array_intersect("buckets_a", "buckets_b"), F.lit(0)) == F.col("bucket"))
+    met = left.join(right, (F.col("bucket") == F.col("bucket_b")) & (F.col("label_a") != F.col("label_b")) & _near(threshold) & once)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
