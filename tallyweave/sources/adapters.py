@@ -1,4 +1,4 @@
-"""Connectors: anything that can be loaded as a DataFrame can be ranged, paged, checksummed, sampled and pruned."""
+"""Adapters: anything that can be loaded as a DataFrame can be ranged, paged, checksummed, sampled and pruned."""
 
 from __future__ import annotations
 
@@ -13,8 +13,8 @@ from tallyweave.functions.predicates import id_limit
 from tallyweave.operators import reconcile
 
 
-class Connector(ABC):
-    """A table with an id column and the fields to compare. `load` is all that a connector must define."""
+class Adapter(ABC):
+    """A table with an id column and the fields to compare. `load` is all that a adapter must define."""
 
     def __init__(self, spark: SparkSession, key: str, fields: list[str], extract_id: Callable[[Column], Column] | None = None):
         self.spark, self.key, self.fields, self.extract_id = spark, key, fields, extract_id
@@ -67,7 +67,7 @@ class Connector(ABC):
         return getattr(self, method)(**arguments)
 
 
-class TableConnector(Connector):
+class TableAdapter(Adapter):
     """A DataFrame, or what makes one."""
 
     def __init__(self, spark: SparkSession, table: DataFrame | Callable[[SparkSession], DataFrame], key: str, fields: list[str], **more):
@@ -78,7 +78,7 @@ class TableConnector(Connector):
         return self._table(self.spark) if callable(self._table) else self._table
 
 
-class FileConnector(Connector):
+class FileAdapter(Adapter):
     """Files of any format Spark reads."""
 
     def __init__(self, spark: SparkSession, path: str, key: str, fields: list[str], fmt: str = "parquet", schema: T.StructType | None = None, **more):
@@ -100,7 +100,7 @@ JDBC = {
 }
 
 
-class JdbcConnector(Connector):
+class JdbcAdapter(Adapter):
     """A query in a database. The driver's jar must be on the class path; credentials are passed in, never kept here.
 
     With bounds the scan is split into ranges of the id column, one task each.
@@ -125,7 +125,7 @@ class JdbcConnector(Connector):
         df.write.format("jdbc").options(**keep, dbtable=table, batchsize=str(batch)).mode(mode).save()
 
 
-class CustomConnector(Connector):
+class CustomAdapter(Adapter):
     """Handlers of the caller's own by name; what is not given is derived from `load`."""
 
     def __init__(self, spark: SparkSession, key: str, fields: list[str], load: Callable[[], DataFrame], **handlers: Callable):
@@ -141,7 +141,7 @@ class CustomConnector(Connector):
         return self._load()
 
 
-class MockConnector(Connector):
+class MockAdapter(Adapter):
     """Ids 1..n whose values are drawn from a seed, some of them wrong: for tests of callers."""
 
     def __init__(self, spark: SparkSession, n: int, seed: int = 0, wrong_every: int = 0):
@@ -153,5 +153,5 @@ class MockConnector(Connector):
         return rows.withColumn("value", F.when(F.col("id") % self.wrong_every == 0, -F.col("value")).otherwise(F.col("value"))) if self.wrong_every else rows
 
 
-def compare(master: Connector, slave: Connector) -> DataFrame:
+def compare(master: Adapter, slave: Adapter) -> DataFrame:
     return reconcile.classify(master.individual(), slave.individual())

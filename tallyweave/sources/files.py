@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.functions.scalars import for_load
+from tallyweave.sources.storage import versions, write_version
 
 
 def copy_out(df: DataFrame, path: str, columns: list[str] | None = None, where: Column | None = None, delimiter: str = "|", null: str = "\\N", header: bool = False) -> None:
@@ -17,7 +16,7 @@ def copy_out(df: DataFrame, path: str, columns: list[str] | None = None, where:
     rows.select(*text).write.mode("overwrite").option("sep", delimiter).option("nullValue", null).option("emptyValue", "").option("header", header).csv(path)
 
 
-def copy_in(spark: SparkSession, path: str, schema: str, delimiter: str = "|", null: str = "\\N", header: bool = False) -> DataFrame:
+def copy_in(spark: SparkSession, path: str | list[str], schema: str, delimiter: str = "|", null: str = "\\N", header: bool = False) -> DataFrame:
     """Delimited text as a warehouse loads it: '' is null, carriage returns become line feeds."""
     rows = spark.read.schema(schema).option("sep", delimiter).option("nullValue", null).option("header", header).csv(path)
     return rows.select(*[for_load(F.col(c)).alias(c) if kind == "string" else F.col(c) for c, kind in rows.dtypes])
@@ -34,14 +33,27 @@ def quarantine(rejected: DataFrame, source: str, path: str) -> None:
 
 
 def publish(df: DataFrame, root: str, version: int) -> str:
-    """A new version of a table, then the pointer to it: readers see the old or the new one, never a part."""
-    path = f"{root}/v={version}"
-    df.write.mode("overwrite").parquet(path)
-    spark = df.sparkSession
-    spark.createDataFrame([(json.dumps({"version": version, "path": path}),)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/_pointer")
-    return path
+    """A new version of a table. Readers take the greatest complete one, so they see the old or the new, never a part."""
+    return write_version(df, root, version)
 
 
 def published(spark: SparkSession, root: str) -> DataFrame:
-    pointer = json.loads(spark.read.text(f"{root}/_pointer").first()["value"])
-    return spark.read.parquet(pointer["path"])
+    found = versions(spark, root)
+    if not found:
+        raise FileNotFoundError(f"no complete version under {root}")
+    return spark.read.parquet(f"{root}/version-{found[-1]}")
+
+
+def unload(df: DataFrame, path: str, columns: list[str] | None = None, where: Column | None = None, delimiter: str = "|") -> DataFrame:
+    """Delimited files with a manifest of them; gives the manifest (url, bytes)."""
+    copy_out(df, f"{path}/data", columns, where, delimiter)
+    spark = df.sparkSession
+    listed = spark.read.format("binaryFile").load(f"{path}/data").where("length > 0").select(F.col("path").alias("url"), F.col("length").alias("bytes"))
+    listed.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
+    return spark.read.schema("url string, bytes long").json(f"{path}/manifest")
+
+
+def load_manifest(spark: SparkSession, path: str, schema: str, delimiter: str = "|") -> DataFrame:
+    """The rows of exactly the files that a manifest lists."""
+    urls = [r["url"] for r in spark.read.schema("url string, bytes long").json(f"{path}/manifest").collect()]
+    return copy_in(spark, urls, schema, delimiter) if urls else spark.createDataFrame([], schema)

@@ -1,4 +1,4 @@
-"""Paged and per-method HTTP sources as Python data sources, and a bulk sink: for search services and remote connectors.
+"""Paged and per-method HTTP sources as Python data sources, and a bulk sink: for search services and remote adapters.
 
 `fetch` and `post` are injected, so tests use functions instead of a network.
 """
@@ -64,7 +64,7 @@ def scroll(fetch: Callable[[str, dict], dict], url: str, query: dict, size: int
 
 
 def remote(spark: SparkSession, url: str, method: str, arguments: dict, schema: str, fetch: Callable[[str, dict], dict] = post_json, after: Callable[[dict], list] | None = None) -> DataFrame:
-    """Rows that a remote connector answers a method with."""
+    """Rows that a remote adapter answers a method with."""
     answer = fetch(url, {"method": method, **arguments})
     return spark.createDataFrame(after(answer) if after else answer["rows"], schema)
 

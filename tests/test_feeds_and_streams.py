@@ -94,8 +94,43 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, tmp_path):
     whole = A.partial(A.with_buckets(rows, "ts", ["daily", "alltime"]), "v", "ts", "seq")
     expected = whole.select(*[F.col(c) for c in ("id", "category", "bucket", "count", "sum", "min", "max")], F.col("first.v").alias("first"), F.col("last.v").alias("last"))
     assert sorted(found.collect()) == sorted(expected.collect())
+    held = sorted(found.collect())
     S.aggregate_batch(store, rows, 2, ["daily"], "v", "ts", "seq")
-    assert sorted(A.current(store.read(2)).collect()) == sorted(found.collect())
+    assert sorted(A.current(store.read(2)).collect()) == held
+
+
+def test_a_crash_between_state_and_manifest_loses_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([(str(k), "2024-01-01", k, 1) for k in range(50)], "id string, ts string, seq long, v long").withColumn("ts", F.col("ts").cast("timestamp"))
+    store = S.Store(spark, str(tmp_path / "s"), 4)
+    S.aggregate_batch(store, rows, 0, ["daily"], "v", "ts", "seq")
+    whole, write = S.Store.write, S.storage.write_version
+    for broken in ("data", "manifest"):  # dies after part of the data, then before the manifest
+        S.storage.write_version = lambda *a, **b: (_ for _ in ()).throw(RuntimeError("killed"))
+        if broken == "data":
+            S.Store.write = lambda self, df, batch, touched, key="id": df.limit(1).write.mode("overwrite").parquet(f"{self.root}/data/version-{batch}") or (_ for _ in ()).throw(RuntimeError("killed"))
+        try:
+            S.aggregate_batch(store, rows, 1, ["daily"], "v", "ts", "seq")
+        except RuntimeError:
+            pass
+        finally:
+            S.Store.write, S.storage.write_version = whole, write
+        assert store.version() == 0 and {r["sum"] for r in A.current(store.read(0)).collect()} == {1}
+    for batch in (1, 1, 2):
+        S.aggregate_batch(store, rows, batch, ["daily"], "v", "ts", "seq")
+    assert store.version() == 2 and {r["sum"] for r in A.current(store.read(2)).collect()} == {3}
+    assert A.current(store.read(2)).count() == 50
+    S.aggregate_batch(store, rows.where("id = '7'"), 3, ["daily"], "v", "ts", "seq")
+    assert {r["id"]: r["sum"] for r in A.current(store.read(3)).collect()} == {str(k): 3 + (k == 7) for k in range(50)}
+
+
+def test_queue_rows_without_key_are_quarantined(spark, tmp_path):
+    source = str(tmp_path / "in")
+    spark.createDataFrame([("0001", 1, "a"), ("0002", None, "b"), ("0003", 1, "c"), ("0004", 2, "d")], "position string, k int, v string").coalesce(1).write.json(source)
+    stream = S.queue(spark, source, "position string, k int, v string", "0001", 1)
+    S.load_from_queue(stream, str(tmp_path / "t"), str(tmp_path / "cp"), "thing", "k", "position").awaitTermination()
+    store = S.Store(spark, str(tmp_path / "t/records"))
+    assert {(r.id, r.v) for r in store.read(store.version()).collect()} == {(1, "c"), (2, "d")}
+    assert [r.v for r in spark.read.json(str(tmp_path / "t/thing_error/*")).collect()] == ["b"]
 
 
 def test_streaming_change_counter(spark, tmp_path):

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyweave.operators import reconcile as R
-from tallyweave.sources.connectors import CustomConnector, MockConnector, TableConnector, compare
+from tallyweave.sources.adapters import CustomAdapter, MockAdapter, TableAdapter, compare
 
 
 def test_many_extra_rows(spark):
@@ -39,16 +39,16 @@ def test_sample_is_stable_and_bounded(spark):
     assert sorted(R.sample(statuses, 1).collect()) == sorted(R.sample(statuses, 1).collect())
 
 
-def test_connectors(spark):
-    good, bad = MockConnector(spark, 50), MockConnector(spark, 50, wrong_every=10)
+def test_adapters(spark):
+    good, bad = MockAdapter(spark, 50), MockAdapter(spark, 50, wrong_every=10)
     assert {r["status"]: r["count"] for r in compare(good, bad).groupBy("status").count().collect()} == {"correct": 45, "incorrect": 5}
     assert good.handle("range").first() == (1, 50, 50)
     assert [r[0] for r in good.handle("nibble", limit=10).collect()] == [10, 11]
     assert [r[0] for r in good.nibble(10, reverse=True).collect()] == [41, 40]
     assert good.sample([3, 1]).count() == 2
-    table = TableConnector(spark, good.load(), "id", ["value"])
+    table = TableAdapter(spark, good.load(), "id", ["value"])
     assert table.delete(table.load().where("id < 11")).count() == 40
-    own = CustomConnector(spark, "id", ["value"], good.load, range=lambda **_: "mine")
+    own = CustomAdapter(spark, "id", ["value"], good.load, range=lambda **_: "mine")
     assert own.handle("range") == "mine"
     try:
         good.handle("drop")
