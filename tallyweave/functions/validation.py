@@ -32,6 +32,10 @@ class Table:
     fields: tuple[Field, ...]
     is_dimension: bool = False
     unknown_fields_fail: bool = True
+    #: Another name that events may use, together with the kind of table.
+    label: str | None = None
+    #: Column groups without repeats besides the natural key.
+    unique: tuple[tuple[str, ...], ...] = ()
     technical: tuple[str, ...] = field(default=("_auditdate", "_startdate", "_enddate", "_current", "_deleted"))
 
     @property

@@ -1,7 +1,7 @@
 """Feeding facts and slowly changing dimensions. Every function takes snapshots and gives the next snapshot.
 
 `audit_ts` is always a parameter: a load run again with the same one gives the same tables. Surrogate keys of new
-members are numbered by natural key within hash parts of bounded size, so no task has to order all of them.
+members are numbered by natural key within ranges of it, so no task has to order all of them.
 """
 
 from __future__ import annotations
@@ -73,10 +73,10 @@ def soft_delete_dimension(dim: DataFrame, ids: DataFrame, key: str, audit_ts: da
     return hit.withColumn("_enddate", F.when(ends, _ts(audit_ts)).otherwise(F.col("_enddate"))).withColumn("_current", F.col("_current") & ~ends).select(*dim.columns)
 
 
-def next_keys(rows: DataFrame, order: list[str], base: int, sk: str, parts: int | None = None) -> DataFrame:
+def next_keys(rows: DataFrame, order: list[str], base: int, sk: str, parts: int | None = 8) -> DataFrame:
     """`rows` with keys base+1, base+2, .. by the order of their natural keys.
 
-    With `parts`, numbers run within ranges of the order and start after the ranges before, so that many tasks share
+    With `parts` (None: one task for all), numbers run within ranges of the order and start after the ranges before, so that many tasks share
     the work; the result is the same.
     """
     if not parts:
@@ -92,7 +92,7 @@ def max_key(dim: DataFrame, sk: str) -> int:
     return dim.agg(F.coalesce(F.max(sk), F.lit(FIRST_KEY)).alias("k")).first()["k"]
 
 
-def scd_load(dim: DataFrame, staged: DataFrame, table: Table, audit_ts: datetime | str, parts: int | None = None) -> DataFrame:
+def scd_load(dim: DataFrame, staged: DataFrame, table: Table, audit_ts: datetime | str, parts: int | None = 8) -> DataFrame:
     """The dimension after loading at most one staged row for each natural key.
 
     Values that are null or absent in staging stay as they are and are no change. Type 1 overwrites all versions; type 2
@@ -158,7 +158,7 @@ def scd_load(dim: DataFrame, staged: DataFrame, table: Table, audit_ts: datetime
     return old.unionByName(rows.select(*dim.columns))
 
 
-def missing_members(dim: DataFrame, fact: DataFrame, keys: dict[str, str], sk: str, audit_ts: datetime | str, parts: int | None = None) -> DataFrame:
+def missing_members(dim: DataFrame, fact: DataFrame, keys: dict[str, str], sk: str, audit_ts: datetime | str, parts: int | None = 8) -> DataFrame:
     """The dimension with a placeholder for each key that facts have and it lacks. `keys` maps dimension to fact columns.
 
     Keys with a null part have no member: they link to the unknown one.
@@ -229,6 +229,11 @@ def export_changes(local: DataFrame, remote_audit: datetime | str | None, remote
     return local.where(F.col(column).cast("timestamp") >= at if here > remote_rows else F.col(column).cast("timestamp") > at)
 
 
+def export_stats(changes: DataFrame, column: str = "_auditdate") -> DataFrame:
+    """The oldest audit time of exported rows and their number."""
+    return changes.agg(F.min(column).alias("oldest"), F.count(F.lit(1)).alias("n"))
+
+
 def import_changes(table: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with the changes' keys replaced by them."""
     return table.join(changes.select(*keys), keys, "left_anti").unionByName(changes, allowMissingColumns=True)
