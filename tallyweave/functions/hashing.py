@@ -29,5 +29,10 @@ def word(digest: Column, k: int) -> Column:
 
 
 def checksum_of(digest: str = "hash") -> list[Column]:
-    """Count and sums of the four words. Decimal sums, so that no number of rows overflows them."""
-    return [F.count(F.lit(1)).alias("qty"), *[F.sum(word(F.col(digest), k).cast("decimal(20,0)")).alias(f"sum{k + 1}") for k in range(4)]]
+    """Count and sums of the four words. Long sums hold two billion rows; beyond that `widened` adds up several of them."""
+    return [F.count(F.lit(1)).alias("qty"), *[F.sum(word(F.col(digest), k)).alias(f"sum{k + 1}") for k in range(4)]]
+
+
+def widened() -> list[Column]:
+    """Sums over sums, in decimals that no number of rows overflows."""
+    return [F.coalesce(F.sum("qty"), F.lit(0)).alias("qty"), *[F.sum(F.col(f"sum{k}").cast("decimal(20,0)")).alias(f"sum{k}") for k in range(1, 5)]]

@@ -107,6 +107,12 @@ def normalise_fields(df: DataFrame, longest: int = 4000) -> DataFrame:
     return df.select(*out)
 
 
+def iso_time(text: Column) -> Column:
+    """The time that a text holds if it is an ISO date with or without a time, else null."""
+    whole = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$")
+    return F.when(whole, F.try_to_timestamp(F.regexp_replace(text, " ", "T")))
+
+
 def fk_column(column: str, dim_column: str | None = None) -> str:
     """Name of the key column that links to a dimension."""
     return dim_column or "d_" + column.removesuffix("_id")

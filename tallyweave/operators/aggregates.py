@@ -52,6 +52,11 @@ def by_key(rows: DataFrame, by: list[str], key: str, measure: Column, name: str
     return each.groupBy(*by).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, "__m")))).alias(name))
 
 
+def tree(measures: dict) -> list[Column]:
+    """Aggregates of a nested plan: a name leads to an aggregate, or to a plan of its own that becomes a struct."""
+    return [(F.struct(*tree(m)) if isinstance(m, dict) else m).alias(name) for name, m in measures.items()]
+
+
 def query(aggregates: DataFrame, entity_id, start: str | None = None, end: str | None = None, category: str | None = None, limit: int | None = None) -> DataFrame:
     """Buckets of one id between labels."""
     rows = aggregates.where(F.col("id") == entity_id)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweave.functions.scalars import lsn_parts
+from tallyweave.functions.scalars import inflate, lsn_parts
 
 EVENT = "op string, schema string, table string, id string, position string, ts timestamp"
 
@@ -26,6 +26,16 @@ def fold_ids(events: DataFrame, keys: list[str]) -> DataFrame:
     return events.groupBy("op", "schema", "table").agg(F.sort_array(F.collect_set(key)).alias("ids"))
 
 
+def fold_pages(events: DataFrame, keys: list[str], size: int = 10_000) -> DataFrame:
+    """(op, schema, table, page, ids): like fold_ids with about `size` ids in a page, so that no table's ids meet in one row.
+    The number of pages follows each table's number of events; a page is chosen by hash, so an id is in one page only."""
+    key = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
+    # one row for each table and operation
+    pages = events.groupBy("op", "schema", "table").agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).cast("int").alias("__pages"))
+    paged = events.join(F.broadcast(pages), ["op", "schema", "table"]).withColumn("page", F.pmod(F.xxhash64(*keys), F.col("__pages")).cast("int"))
+    return paged.groupBy("op", "schema", "table", "page").agg(F.sort_array(F.collect_set(key)).alias("ids"))
+
+
 def resume(tables: dict[str, tuple[DataFrame, list[str]]], version: int, after: tuple | None = None) -> DataFrame:
     """Changes of several tables, each (rows with `version`, key columns), after a position (version, key texts)."""
     out = None
@@ -72,9 +82,21 @@ def route(rows: DataFrame, partition: Column, queues: dict[str, str], default: s
 
 
 def merge_images(old: Column, new: Column) -> Column:
-    """The new image's values over the old one's."""
-    return F.map_concat(F.coalesce(old, F.create_map().cast("map<string,string>")), F.coalesce(new, F.create_map().cast("map<string,string>")))
+    """The new image's values over the old one's, whatever the session does with repeated keys."""
+    nothing = F.create_map().cast("map<string,string>")
+    kept = F.map_filter(F.coalesce(old, nothing), lambda k, _: ~F.array_contains(F.map_keys(F.coalesce(new, nothing)), k))
+    return F.map_concat(kept, F.coalesce(new, nothing))
+
 
+def inflate_images(rows: DataFrame, column: str) -> DataFrame:
+    """Stored payloads back to text: those that are compressed (base 64 that begins like a zlib stream), the rest as they are."""
+    return rows.withColumn(column, F.when(F.col(column).rlike("^eJ[A-Za-z0-9+/]+=*$"), inflate(F.col(column))).otherwise(F.col(column)))
+
+
+def processed(rows: DataFrame, key: str, seq: str, image: str, partition: Column, queues: dict[str, str], default: str) -> DataFrame:
+    """Stored images as (key, seq, old, new, queue): inflated, paired with the one before, routed by partition."""
+    paired = old_new(inflate_images(rows, image).withColumn("__p", partition), key, seq, [image, "__p"])
+    return route(paired, F.col("new.__p"), queues, default).select(key, seq, F.col(f"old.{image}").alias("old"), F.col(f"new.{image}").alias("new"), "queue")
 
 _HEADER = re.compile(r'table (?P<schema>"(?:[^"]|"")*"|[^.\s]+)\.(?P<table>"(?:[^"]|"")*"|[^:]+): (?P<op>[A-Z]+):\s*(?P<rest>.*)$', re.S)
 _DATUM = re.compile(r"""\s*(?P<name>"(?:[^"]|"")*"|[^\[\s"]+)\[(?P<type>(?:[^\[\]]|\[\])*)\]:(?P<value>'(?:[^']|'')*'|\S+)""", re.S)
@@ -108,10 +130,13 @@ def decode_line(line: str) -> dict:
     if not (m := _HEADER.match(line)):
         return empty | {"kind": "unreadable"}
     rest, old = m["rest"], {}
-    if rest.startswith("old-key:"):
-        before, _, rest = rest.removeprefix("old-key:").partition("new-tuple:")
-        old, _ = _datums(before.strip())
-    values, types = ({}, {}) if rest.strip() == "(no-tuple-data)" else _datums(rest.strip())
+    try:
+        if rest.startswith("old-key:"):
+            before, _, rest = rest.removeprefix("old-key:").partition("new-tuple:")
+            old, _ = _datums(before.strip())
+        values, types = ({}, {}) if rest.strip() == "(no-tuple-data)" else _datums(rest.strip())
+    except ValueError:
+        return empty | {"kind": "unreadable"}
     return empty | {"kind": "row", "schema": _name(m["schema"]), "tbl": _name(m["table"]), "op": m["op"], "old": old, "new": values, "types": types}
 
 

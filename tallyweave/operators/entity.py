@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.functions.scalars import entity_partition
+from tallyweave.functions.nested import merged
+from tallyweave.functions.scalars import deflate, entity_partition
+from tallyweave.operators.warehouse import fold
 
 
 def upsert(stored: DataFrame, written: DataFrame, keys: list[str], seq: str) -> DataFrame:
@@ -19,15 +21,46 @@ def upsert(stored: DataFrame, written: DataFrame, keys: list[str], seq: str) ->
 
 
 def merge(stored: DataFrame, written: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """Stored rows with each column's last written value that is not null."""
+    """Stored rows with each column's last written value that is not null; structs and maps field by field."""
     columns = [c for c in written.columns if c not in keys and c != seq]
-    last = written.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in columns])
+    last = fold(written, keys, seq, columns)
     cond = reduce(lambda a, b: a & b, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
     both = stored.alias("o").join(last.alias("n"), cond, "full_outer")
-    pick = lambda c: F.coalesce(*[F.col(f"n.{c}")] * (c in last.columns), *[F.col(f"o.{c}")] * (c in stored.columns))
+
+    def pick(c: str) -> Column:
+        if c in last.columns and c in stored.columns and c not in keys:
+            return merged(F.col(f"o.{c}"), F.col(f"n.{c}"), stored.schema[c].dataType)
+        return F.coalesce(*[F.col(f"n.{c}")] * (c in last.columns), *[F.col(f"o.{c}")] * (c in stored.columns))
+
     return both.select(*[pick(c).alias(c) for c in dict.fromkeys([*stored.columns, *last.columns])])
 
 
+def upsert_unique(stored: DataFrame, written: DataFrame, keys: list[str], unique: list[list[str]], seq: str) -> tuple[DataFrame, DataFrame]:
+    """(stored rows after an upsert, keys that were not there before). A stored row that holds a written row's values of a
+    unique column group under another key gives way; of written rows with equal unique values the last stays."""
+    rest = [c for c in written.columns if c not in keys and c != seq]
+    last = written.groupBy(*keys).agg(F.max(seq).alias(seq), F.max_by(F.struct(*rest), seq).alias("__row")).select(*keys, seq, "__row.*")
+    held = stored.join(last.select(*keys), keys, "left_anti")
+    for group in unique:
+        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group])
+        winners = last.where(whole).groupBy(*group).agg(F.max_by(F.struct(*keys), seq).alias("__key"))
+        winners = winners.select(*group, *[F.col(f"__key.{k}").alias(f"__{k}") for k in keys])
+        same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in keys])
+        last = last.join(winners, group, "left").where(F.col(f"__{keys[0]}").isNull() | same).drop(*[f"__{k}" for k in keys])
+        held = held.join(last.where(whole).select(*group), group, "left_anti")
+    after = held.unionByName(last.select(*keys, *rest), allowMissingColumns=True).select(*dict.fromkeys([*stored.columns, *keys, *rest]))
+    return after, last.select(*keys).join(stored.select(*keys), keys, "left_anti")
+
+
+#: Characters of a payload from which on it is stored compressed.
+COMPRESS_FROM = 5000
+
+
+def compressed(records: DataFrame, column: str, longest: int = COMPRESS_FROM) -> DataFrame:
+    """Payloads over the bound compressed, the rest as they are; only the former pass through Python."""
+    return records.withColumn(column, F.when(F.length(column) > longest, deflate(F.col(column))).otherwise(F.col(column)))
+
+
 def load(rows: DataFrame, entity: str, key: str, transform: Callable[[DataFrame], DataFrame] | None = None, partitions: int = 10) -> tuple[DataFrame, DataFrame]:
     """(records with `partition` and `id`, rows without a key)."""
     shaped = transform(rows) if transform else rows

@@ -1,7 +1,10 @@
 """Reconciling a copy of a table (slave) with its source (master).
 
 Instead of walking ranges one after another, both sides are hashed once, summed per bucket of ids, and only buckets whose
-sums differ are compared row by row: two scans, two aggregates with partial sums, and one join of what differs.
+sums differ are compared row by row. Rows are compared in one aggregate by id over both sides, which needs no join.
+
+Ids may be numbers or texts. All rows with one id are compared as a whole, in whatever order they stand, so a repeated id
+is correct where both sides repeat it alike; rows without an id are one such id.
 """
 
 from __future__ import annotations
@@ -10,8 +13,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyweave.functions.hashing import canonical, checksum_of, row_hash
+from tallyweave.functions.hashing import canonical, checksum_of, row_hash, widened, word
+from tallyweave.session import cut
 
 SUMS = [f"sum{k}" for k in range(1, 5)]
 
@@ -24,7 +29,10 @@ def individual(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
 def batch(df: DataFrame, key: str, fields: list[str], by: Column | None = None) -> DataFrame:
     """Quantity and word sums of the whole table, or of each bucket."""
     hashed = df.select(*([by.alias("bucket")] if by is not None else []), row_hash(df, fields).alias("hash"))
-    return (hashed.groupBy("bucket") if by is not None else hashed.groupBy()).agg(*checksum_of())
+    if by is not None:
+        return hashed.groupBy("bucket").agg(*checksum_of())
+    # long sums within partitions, decimals over the few that are left
+    return hashed.groupBy(F.spark_partition_id().alias("__part")).agg(*checksum_of()).agg(*widened())
 
 
 def id_range(df: DataFrame, key: str, where: Column | None = None) -> DataFrame:
@@ -41,21 +49,33 @@ def composite_range(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def bucket_of(key: Column, width: int) -> Column:
-    """Buckets of ids by value: no order of all rows is needed for them."""
-    return F.floor(key / F.lit(width)).cast("long")
+    """Buckets of number ids by value, exact for all longs: no order of all rows is needed for them."""
+    whole = key.cast("long")
+    return ((whole - F.pmod(whole, F.lit(width))).cast("decimal(20,0)") / F.lit(width).cast("decimal(20,0)")).cast("long")
+
+
+#: Hash buckets of text ids: the first four hexadecimal digits of the md5.
+TEXT_BUCKETS = 1 << 16
+
 
+def buckets_by(df: DataFrame, key: str, width: int) -> Column:
+    """The bucket of each row: by value for numbers, by hash for all else; null ids have none and stay together."""
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        return bucket_of(F.col(key), width)
+    return F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 4), 16, 10).cast("long")
 
-def nibbles(df: DataFrame, key: str, limit: int) -> DataFrame:
+
+def nibbles(df: DataFrame, key: str, limit: int, parts: int = 16) -> DataFrame:
     """(bucket, start, end, qty) for pages of `limit` rows in id order, each page as a range.
 
-    Rows are counted by coarse value ranges first, so that the numbering within a range needs no order of the others.
+    Ids are dealt by range, and numbered within each part after those of the parts before: however sparse they are, the one
+    window over all has a row for each part only.
     """
-    rows = df.select(F.col(key).alias("id"), bucket_of(F.col(key), limit).alias("__part"))
+    rows = cut(df.select(F.col(key).alias("id")).repartitionByRange(parts, "id").withColumn("__part", F.spark_partition_id()))
     counts = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    # one row for each `limit` ids of the key's range
     before = counts.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     own = Window.partitionBy("__part").orderBy("id")
-    numbered = rows.join(before, "__part").select("id", F.floor((F.col("__before") + F.row_number().over(own) - 1) / F.lit(limit)).cast("long").alias("bucket"))
+    numbered = rows.join(F.broadcast(before), "__part").select("id", bucket_of(F.col("__before") + F.row_number().over(own) - 1, limit).alias("bucket"))
     return numbered.groupBy("bucket").agg(F.min("id").alias("start"), F.max("id").alias("end"), F.count(F.lit(1)).alias("qty"))
 
 
@@ -75,7 +95,7 @@ def nibble(df: DataFrame, keys: list[str], limit: int, start: tuple | None = Non
 def compare_batches(master: DataFrame, slave: DataFrame) -> DataFrame:
     """Buckets whose sums differ, and how: the slave has too few rows, too many, or others."""
     m, s = master.select("bucket", F.col("qty").alias("m_qty"), *[F.col(c).alias(f"m_{c}") for c in SUMS]), slave.select("bucket", F.col("qty").alias("s_qty"), *[F.col(c).alias(f"s_{c}") for c in SUMS])
-    both = m.join(s, "bucket", "full_outer")
+    both = m.withColumnRenamed("bucket", "m_bucket").join(s.withColumnRenamed("bucket", "s_bucket"), F.col("m_bucket").eqNullSafe(F.col("s_bucket")), "full_outer").withColumn("bucket", F.coalesce("m_bucket", "s_bucket"))
     same = F.lit(True)
     for c in ("qty", *SUMS):
         same = same & F.col(f"m_{c}").eqNullSafe(F.col(f"s_{c}"))
@@ -85,8 +105,10 @@ def compare_batches(master: DataFrame, slave: DataFrame) -> DataFrame:
 
 def classify(master: DataFrame, slave: DataFrame) -> DataFrame:
     """(id, status) of two (id, hash) tables: correct, incorrect, missing in the slave, or extra there."""
-    both = master.select("id", F.col("hash").alias("m")).join(slave.select("id", F.col("hash").alias("s")), "id", "full_outer")
-    return both.select("id", F.when(F.col("s").isNull(), "missing").when(F.col("m").isNull(), "extra").when(F.col("m") == F.col("s"), "correct").otherwise("incorrect").alias("status"))
+    side = lambda df, sign: df.select("id", F.lit(sign).alias("side"), *[(word(F.col("hash"), k) * sign).alias(f"w{k}") for k in range(4)])
+    both = side(master, 1).union(side(slave, -1)).groupBy("id").agg(F.count_if(F.col("side") > 0).alias("m"), F.count_if(F.col("side") < 0).alias("s"), *[F.sum(f"w{k}").alias(f"w{k}") for k in range(4)])
+    equal = (F.col("m") == F.col("s")) & (F.col("w0") == 0) & (F.col("w1") == 0) & (F.col("w2") == 0) & (F.col("w3") == 0)
+    return both.select("id", F.when(F.col("s") == 0, "missing").when(F.col("m") == 0, "extra").when(equal, "correct").otherwise("incorrect").alias("status"))
 
 
 def diff(master: DataFrame, slave: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -94,11 +116,20 @@ def diff(master: DataFrame, slave: DataFrame, key: str, fields: list[str]) -> Da
 
 
 def drilldown(master: DataFrame, slave: DataFrame, key: str, fields: list[str], width: int = 1000) -> DataFrame:
-    """The rows that are not correct, looking closely only at buckets whose sums differ."""
-    by = bucket_of(F.col(key), width)
-    bad = compare_batches(batch(master, key, fields, by), batch(slave, key, fields, by)).select("bucket")
-    pick = lambda df: df.join(bad, by == F.col("bucket"), "left_semi")
-    return diff(pick(master), pick(slave), key, fields).where("status <> 'correct'")
+    """The rows that are not correct, looking closely only at buckets whose sums differ.
+
+    Buckets of numbers are ranges, so the least and greatest id of all that differ go to the scans, where row groups
+    outside are never read."""
+    left, right = buckets_by(master, key, width), buckets_by(slave, key, width)
+    bad = cut(compare_batches(batch(master, key, fields, left), batch(slave, key, fields, right)).select("bucket"))
+    if isinstance(master.schema[key].dataType, T.IntegralType):
+        ends = bad.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"), F.count_if(F.col("bucket").isNull()).alias("nulls")).first()
+        if ends["lo"] is not None:
+            inside = F.col(key).between(ends["lo"] * width, ends["hi"] * width + width - 1)
+            inside = inside | F.col(key).isNull() if ends["nulls"] else inside
+            master, slave = master.where(inside), slave.where(inside)
+    pick = lambda df, by: df.withColumn("__bucket", by).join(bad, F.col("__bucket").eqNullSafe(F.col("bucket")), "left_semi")
+    return diff(pick(master, left), pick(slave, right), key, fields).where("status <> 'correct'")
 
 
 def totals(statuses: DataFrame) -> DataFrame:
@@ -141,6 +172,11 @@ def delete_ids(df: DataFrame, key: str, ids: DataFrame | None = None, start=None
     return hit.where(~gone).select(*df.columns)
 
 
+def delete_by(df: DataFrame, field: str, ids: DataFrame) -> DataFrame:
+    """Without the rows whose `field` is among `ids` (its first column), of any number."""
+    return df.join(ids.select(F.col(ids.columns[0]).alias(field)).distinct(), field, "left_anti").select(*df.columns)
+
+
 def reconcile(master: DataFrame, slave: DataFrame, key: str, fields: list[str], transform: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(totals, what differs), the latter through a transform if given, as a queue would get it."""
     statuses = diff(master, slave, key, fields)

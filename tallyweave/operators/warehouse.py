@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyweave.functions.nested import flat, nest
 from tallyweave.functions.scalars import UNKNOWN_KEY, date_key, fk_column, time_key
 from tallyweave.functions.validation import Table, spark_type
 from tallyweave.session import cut
@@ -28,8 +29,14 @@ def _ts(value: datetime | str) -> Column:
 def fold(events: DataFrame, keys: list[str], seq: str, columns: list[str], deleted: str | None = None) -> DataFrame:
     """One row for each key: each column's last value that is not null, counting from the last delete on.
 
-    A key whose last event is a delete keeps only its key and `_deleted`; data after a delete is a new insert.
+    A key whose last event is a delete keeps only its key and `_deleted`; data after a delete is a new insert. Columns that
+    are structs are folded field by field.
     """
+    nested = T.StructType([f for f in events.schema.fields if f.name in columns])
+    if any(isinstance(f.dataType, T.StructType) for f in nested.fields):
+        rows, names = flat(events, columns)
+        out = fold(rows, keys, seq, list(names.values()), deleted)
+        return out.select(*keys, *nest(nested, names), *(["_deleted"] if deleted else []))
     rows = events
     gone = F.coalesce(F.col(deleted), F.lit(False)) if deleted else F.lit(False)
     if deleted:

@@ -69,12 +69,18 @@ def cut(df: DataFrame) -> DataFrame:
     are removed when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tallyweave-{os.getpid()}-{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.parquet(path)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder's name in the shared folder; what is written there goes when the driver ends."""
+    path = f"{shared_folder(spark)}/tallyweave-{os.getpid()}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 _written: list[tuple[SparkSession, str]] = []
 atexit.register(lambda: _remove())
 

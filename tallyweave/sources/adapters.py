@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyweave.functions.predicates import id_limit
-from tallyweave.operators import reconcile
+from tallyweave.operators import domain, reconcile
 
 
 class Adapter(ABC):
@@ -36,17 +37,21 @@ class Adapter(ABC):
         return reconcile.batch(self.rows(None, start, end), self.key, self.fields)
 
     def individual(self, start=None, end=None) -> DataFrame:
-        return reconcile.individual(self.rows(None, start, end), self.key, self.fields)
+        return reconcile.individual(self._keyed(self.rows(None, start, end)), self.key, self.fields)
 
     def range(self, start=None, end=None) -> DataFrame:
-        return reconcile.id_range(self.rows(None, start, end), self.key)
+        return reconcile.id_range(self._keyed(self.rows(None, start, end)), self.key)
 
     def nibble(self, limit: int, start=None, end=None, reverse: bool = False) -> DataFrame:
         bound = lambda x: None if x is None else (x,)
-        return reconcile.nibble(self.load(), [self.key], limit, bound(start), bound(end), reverse)
+        return reconcile.nibble(self._keyed(self.load()), [self.key], limit, bound(start), bound(end), reverse)
 
     def get_ids(self, start=None, end=None, reverse: bool = False) -> DataFrame:
-        return self.rows(None, start, end).select(self.key).orderBy(F.col(self.key).desc() if reverse else self.key)
+        return self._keyed(self.rows(None, start, end)).select(self.key).orderBy(F.col(self.key).desc() if reverse else self.key)
+
+    def _keyed(self, rows: DataFrame) -> DataFrame:
+        """Rows with the id that `extract_id` makes of the key, in its column."""
+        return rows.withColumn(self.key, self.extract_id(F.col(self.key))) if self.extract_id else rows
 
     def sample(self, ids: list) -> DataFrame:
         return self.rows(ids).select(self.key, *[f for f in self.fields if f != self.key]).orderBy(self.key)
@@ -58,6 +63,16 @@ class Adapter(ABC):
     def describe(self) -> T.StructType:
         return self.load().schema
 
+    def stream_changes(self, **_) -> DataFrame:
+        """Changes of the table as a stream; a kind of table that has any overrides this."""
+        raise NotImplementedError(f"{type(self).__name__} has no change stream")
+
+    def domain_objects(self, ids: DataFrame, joins: list[Callable[[DataFrame], DataFrame]] = (), **more) -> DataFrame:
+        return domain.objects(ids, self.key, self.load(), list(joins), **more)
+
+    def snapshot(self, limit: int, path: str, done: list[int] | None = None) -> DataFrame:
+        return domain.write_snapshot(self.load(), self.key, limit, path, done)
+
     #: Names a request may ask for.
     METHODS = ("batch", "individual", "range", "nibble", "sample", "delete", "initialize", "destroy")
 
@@ -125,6 +140,36 @@ class JdbcAdapter(Adapter):
         df.write.format("jdbc").options(**keep, dbtable=table, batchsize=str(batch)).mode(mode).save()
 
 
+class DocumentAdapter(Adapter):
+    """A collection of documents (JSON files, or what makes a frame): a condition over them, a projection, and a mapper that
+    makes none or one row of each document."""
+
+    def __init__(self, spark: SparkSession, documents: str | Callable[[SparkSession], DataFrame], key: str, fields: list[str], where: str | None = None, mapper: Callable[[dict], dict | None] | None = None, schema: str | None = None, **more):
+        super().__init__(spark, key, fields, **more)
+        self.documents, self.where, self.mapper, self.mapped_schema = documents, where, mapper, schema
+
+    def load(self) -> DataFrame:
+        rows = self.documents(self.spark) if callable(self.documents) else self.spark.read.json(self.documents)
+        rows = rows.where(self.where) if self.where else rows
+        return mapped(rows, self.mapper, self.mapped_schema) if self.mapper else rows
+
+    def find(self, start=None, end=None) -> DataFrame:
+        """The projected documents of a range, by id."""
+        return self.rows(None, start, end).select(self.key, *[f for f in self.fields if f != self.key]).orderBy(self.key)
+
+
+def mapped(rows: DataFrame, mapper: Callable[[dict], dict | None], schema: str) -> DataFrame:
+    """What a function makes of each row as a dict; None leaves the row out. In batches, as the function is the caller's own."""
+    names = [f.name for f in rows.sparkSession.createDataFrame([], schema).schema]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = [x for x in map(mapper, batch.to_dict("records")) if x is not None]
+            yield pd.DataFrame([[x.get(n) for n in names] for x in made], columns=names)
+
+    return rows.mapInPandas(run, schema)
+
+
 class CustomAdapter(Adapter):
     """Handlers of the caller's own by name; what is not given is derived from `load`."""
 
