@@ -90,7 +90,7 @@ def merge_images(old: Column, new: Column) -> Column:
 
 def inflate_images(rows: DataFrame, column: str) -> DataFrame:
     """Stored payloads back to text: those that are compressed (base 64 that begins like a zlib stream), the rest as they are."""
-    return rows.withColumn(column, F.when(F.col(column).rlike("^eJ[A-Za-z0-9+/]+=*$"), inflate(F.col(column))).otherwise(F.col(column)))
+    return rows.withColumn(column, F.coalesce(inflate(F.when(F.col(column).rlike("^eJ[A-Za-z0-9+/]+=*$"), F.col(column))), column))
 
 
 def processed(rows: DataFrame, key: str, seq: str, image: str, partition: Column, queues: dict[str, str], default: str) -> DataFrame:

@@ -57,8 +57,8 @@ COMPRESS_FROM = 5000
 
 
 def compressed(records: DataFrame, column: str, longest: int = COMPRESS_FROM) -> DataFrame:
-    """Payloads over the bound compressed, the rest as they are; only the former pass through Python."""
-    return records.withColumn(column, F.when(F.length(column) > longest, deflate(F.col(column))).otherwise(F.col(column)))
+    """Payloads over the bound compressed, the rest as they are; Python gets null for the latter."""
+    return records.withColumn(column, F.coalesce(deflate(F.when(F.length(column) > longest, F.col(column))), column))
 
 
 def load(rows: DataFrame, entity: str, key: str, transform: Callable[[DataFrame], DataFrame] | None = None, partitions: int = 10) -> tuple[DataFrame, DataFrame]:

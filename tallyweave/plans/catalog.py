@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tallyweave.plans import checks, feeds, measures, stars
+from tallyweave.plans import checks, feeds, flows, measures, stars
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for _module in (checks, stars, feeds, measures):
+for _module in (checks, stars, feeds, measures, flows):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyweave.functions.predicates import where_tree
 from tallyweave.operators import reconcile as R
 from tallyweave.plans.base import Tables, register
+from tallyweave.sources.adapters import TableAdapter
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -89,7 +90,7 @@ def nibble_composite(t: Tables):
 
 @query("select o_orderkey from orders where o_orderkey between 100 and 900")
 def get_ids_range(t: Tables):
-    return t.orders.where(F.col("o_orderkey").between(100, 900)).select("o_orderkey")
+    return TableAdapter(t.spark, t.orders, "o_orderkey", FIELDS).get_ids(100, 900)
 
 
 @query(_SIDES + "select id, status from d")

@@ -88,7 +88,7 @@ def lsn_order(t: Tables):
     return t.events.select("event_id", lsn.alias("lsn"), lsn_number(lsn).cast("decimal(38,0)").cast("string").alias("number"), lsn_next(lsn).alias("next"))
 
 
-@query()
+@query("""select event_id, 'public' as schema, 'events' as tbl, 'UPDATE' as op, '{"id":"' || event_id || '"}' as old, '{"id":"' || event_id || '","kind":"' || replace(event_type, 'e', chr(39)) || '","odd name":null}' as new from events""")
 def wal_decode(t: Tables):
     """Text of the logical decoding plugin, made from the events and read back."""
     line = F.format_string("table public.events: UPDATE: old-key: id[bigint]:%d new-tuple: id[bigint]:%d kind[text]:'%s' \"odd name\"[character varying]:null", "event_id", "event_id", F.regexp_replace("event_type", "e", "''"))
