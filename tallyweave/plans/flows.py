@@ -107,6 +107,7 @@ def entity_nested_merge(t: Tables):
 
 @query("""select c_custkey, c_name, false as fresh from customer where c_custkey % 4 <> 0 and (c_custkey + 1) % 4 <> 0
 union all select c_custkey, 'Customer of ' || (c_custkey - 1), false from customer where c_custkey % 4 = 0
+union all select c_custkey, 'Customer of ' || c_custkey, false from customer where (c_custkey + 1) % 4 = 0 and c_custkey + 1 not in (select c_custkey from customer)
 union all select 1000000 + c_custkey, 'new ' || c_custkey, true from customer where c_custkey % 10 = 0""")
 def entity_unique_upsert(t: Tables):
     """Every fourth customer takes the name of the one before, which gives way as names are unique; some are new."""
