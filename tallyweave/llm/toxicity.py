@@ -341,9 +341,12 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     plain = words.where((F.col("clean") > 0) & (ratio < LEAST_RATIO)).select("word")
     neighbours = cut(plain.mapInArrow(near, "term string, word string").distinct())
     crowded = frozenset(r["term"] for r in neighbours.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NEIGHBOURS).collect())
+    # words of a beginning that is itself found misspelled need no look of their own
+    loose = {t[:-1] for t in picked if t.endswith("*") and t not in crowded and t not in plain_terms and edits_allowed(len(t) - 1)}
+    covered = frozenset(t for t in picked if not t.endswith("*") and any(t[:k] in loose for k in range(PREFIX_LEAST, len(t) + 1)))
     # few words for each term that is left
     exempt = {r["word"] for r in neighbours.where(~F.col("term").isin(*crowded) if crowded else F.lit(True)).select("word").distinct().collect()}
-    model = Model(picked, exempt, (0.0, 0.0, 0.0), crowded | plain_terms)
+    model = Model(picked, exempt, (0.0, 0.0, 0.0), crowded | plain_terms | covered)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
