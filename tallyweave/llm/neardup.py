@@ -52,6 +52,8 @@ IDF_SHARE = 0.25
 FIRSTS, STARS = 2, 2
 #: Links that one task may finish: some 30 MB.
 FEW_LINKS = 200_000
+#: Texts with more than this part of all rows as copies are merged before the shuffle: fewer than HOT of them, some 40 kB.
+HOT = 1000
 #: Longs of a text's bitmap of shingles.
 BITMAP = 16
 #: Rows of the sketch, the least and most bits of a counter's number, counters a text, and counters in a block.
@@ -227,10 +229,18 @@ def _verified(pairs: DataFrame, weighed: DataFrame, threshold: float) -> DataFra
     return both.mapInArrow(run, "a string, b string")
 
 
-def _weighed(docs: DataFrame, text: str, wanted: DataFrame, shared) -> DataFrame:
-    """(same, found, level, bits): distinct shingles, their weight levels and bitmap of each text in `wanted`."""
-    # equal texts are merged within tasks first, so that no group of copies is shuffled whole
-    rows = docs.select(F.md5(F.col(text)).alias("same"), F.col(text).alias("text")).where("same is not null").groupBy("same").agg(F.first("text").alias("text")).join(wanted, "same", "left_semi")
+def _weighed(docs: DataFrame, text: str, wanted: DataFrame, hot: DataFrame, shared) -> DataFrame:
+    """(same, found, level, bits): distinct shingles, their weight levels and bitmap of each text in `wanted`.
+
+    Texts in `hot` have so many copies that these are merged within tasks before they are shuffled; all others are few, and
+    merged after the shuffle, which needs no sorting of whole texts before it.
+    """
+    every = docs.select(F.md5(F.col(text)).alias("same"), F.col(text).alias("text"))
+    rows = every.join(wanted, "same", "left_semi").dropDuplicates(["same"])
+    if not hot.isEmpty():
+        rows = every.join(F.broadcast(hot), "same", "left_anti").join(wanted, "same", "left_semi").dropDuplicates(["same"])
+        merged = every.join(F.broadcast(hot), "same", "left_semi").groupBy("same").agg(F.first("text").alias("text"))
+        rows = rows.union(merged.join(wanted, "same", "left_semi"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,10 +306,12 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     sketch, n = doc_frequencies(docs, text, size)
     shared = spark.sparkContext.broadcast(Weigher(sketch, n, size, idf_share))
     signed = cut(_signed(docs, key, text, shared, threshold))
-    merged = cut(signed.where("same is not null and bands is not null").groupBy("same").agg(F.first("bands").alias("bands"), F.first("total").alias("total")))
+    merged = cut(signed.where("same is not null and bands is not null").groupBy("same").agg(F.first("bands").alias("bands"), F.first("total").alias("total"), F.count(F.lit(1)).alias("n")))
+    # fewer than HOT digests can have more than this share of the rows each
+    hot = merged.where(F.col("n") > max(1, n // HOT)).select("same")
 
     live = cut(_buckets(merged))
-    weighed = cut(_weighed(docs, text, live.select("same").distinct(), shared))
+    weighed = cut(_weighed(docs, text, live.select("same").distinct(), hot, shared))
     ones = sum((F.bit_count(F.get("bits", F.lit(k))) for k in range(BITMAP)), F.lit(0))
     # spare: weight beyond 1 for each bit
     carried = merged.select("same", "total", F.transform("bands", lambda key, band: F.xxhash64(band, key)).alias("buckets")).join(weighed.select("same", "bits"), "same")
