@@ -19,13 +19,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate class: the one with the least id, of equal ids that with the least digest of its text;
     a row without an id only where the whole class has none. Rows without text stay, one for each id they have."""
-    # written once, so that a row's key is the same at every reading
+    # written once, so that a row's key is the same at every reading; texts are moved once more only, by that key
     rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()))
     classes = neardup.classes(rows, key="__row").select(F.col("id").alias("__row"), F.col("class_id").alias("__class"))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.md5("text").alias("digest"), "__row")
-    no_text = F.when(F.col("text").isNull(), F.col("doc_id"))
+    slim = cut(rows.select("__row", "doc_id", F.md5("text").alias("digest")))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "__row")
+    no_text = F.when(F.col("digest").isNull(), F.col("doc_id"))
     one = F.when(no_text.isNotNull(), F.concat(F.lit("null "), no_text.cast("string"))).otherwise(F.col("__class").cast("string"))
-    heads = rows.join(classes, "__row").groupBy(one.alias("__one")).agg(F.min(order)["__row"].alias("__row"))
+    heads = slim.join(classes, "__row").groupBy(one.alias("__one")).agg(F.min(order)["__row"].alias("__row"))
     return rows.join(heads, "__row", "left_semi").select(*docs.columns)
 
 
