@@ -27,8 +27,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Words and pairs kept per worker; beyond it the tables start afresh.
-KEPT_WORDS = 300_000
+#: Words and pairs kept per worker, some 40 MB each; beyond it the tables start afresh.
+KEPT_WORDS = 200_000
 _END = "</w>"
 
 
@@ -67,7 +67,7 @@ class Vocabulary:
         spelled = {tuple(units): i for i, units in texts.items() if self._by_rank(units) == [i]}
         self._build_automaton(spelled)
         self.shorter = {i: next((spelled[p] for k in range(len(u) - 1, 0, -1) if (p := tuple(u[:k])) in spelled), -1) for i, u in texts.items()}
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
         blobs = [b""] * self.size
         for name, i in [*self.names.items(), *self.specials.items()]:
             blobs[i] = name.encode() + b" "
@@ -145,11 +145,12 @@ class Vocabulary:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether merging by rank keeps the border between these neighbours."""
-        known = self._fits.get((left, right))
+        pair = left * self.size + right
+        known = self._fits.get(pair)
         if known is None:
-            if len(self._fits) > 4 * KEPT_WORDS:
+            if len(self._fits) > KEPT_WORDS:
                 self._fits.clear()
-            known = self._fits[left, right] = self._keeps_border(left, right)
+            known = self._fits[pair] = self._keeps_border(left, right)
         return known
 
     def _keeps_border(self, left: int, right: int) -> bool:

@@ -57,7 +57,7 @@ HOT = 1000
 #: Longs of a text's bitmap of shingles.
 BITMAP = 16
 #: Rows of the sketch, the least and most bits of a counter's number, counters a text, and counters in a block.
-SKETCH_ROWS, SKETCH_BITS, COUNTERS, BLOCK = 2, (18, 21), 8, 8192
+SKETCH_ROWS, SKETCH_BITS, COUNTERS, BLOCK = 2, (18, 20), 2, 8192
 ENTRY_BITS, STEPS_PER_E, LEVELS = 13, 64, 192
 
 
@@ -66,7 +66,7 @@ def doc_frequencies(docs: DataFrame, text: str, size: int) -> tuple[np.ndarray,
     bits = min(max((COUNTERS * docs.count()).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((SKETCH_ROWS, 1 << bits), dtype=np.int64)
+        table = np.zeros((SKETCH_ROWS, 1 << bits), dtype=np.uint32)  # a task has fewer texts than that
         seen = 0
         for batch in batches:
             for _, texts in chunked(batch.column(0).to_pylist()):
@@ -79,7 +79,7 @@ def doc_frequencies(docs: DataFrame, text: str, size: int) -> tuple[np.ndarray,
                 if found:
                     every = np.concatenate(found)
                     for r in range(SKETCH_ROWS):
-                        table[r] += np.bincount(_counter(every, r, bits), minlength=1 << bits)
+                        np.add.at(table[r], _counter(every, r, bits), np.uint32(1))
         if seen:
             # a counter takes as few bytes as the block's greatest needs, and blocks of nothing stay away
             flat = [(k, _narrow(row)) for k, row in enumerate(table.reshape(-1, BLOCK)) if row.any()]
