@@ -17,6 +17,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
+#: Rows and bytes of a batch between the JVM and Python where the session has Spark's own 10000 rows of any length: whole
+#: texts are long, and both sides hold a batch several times over.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": (None, "4194304")}
 
 
 def session(app: str = "tallyweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,7 +40,11 @@ def settle(spark: SparkSession) -> SparkSession:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package, for Python functions that run there, unless this application has it already."""
+    """Give executors this package, for Python functions that run there, unless this application has it already, and keep
+    what is sent to them at once small."""
+    for key, (usual, ours) in BATCHES.items():
+        if usual is None or spark.conf.get(key, usual) == usual:
+            spark.conf.set(key, ours)
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
