@@ -48,7 +48,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality_stage), ("near_duplicates", neardup_stage), ("surrogates", pii_stage), ("mix", mix_stage), ("tokens", token_stage)]
 
-#: Classifier, surrogates and tokens are beyond SQL; tests hold the stages against plain Python.
+#: Classifier, surrogates and tokens are beyond SQL; tests compare the operators with plain versions, and stage near_duplicates.
 ORACLE_SQL = None
 
 
