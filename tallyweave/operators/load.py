@@ -86,7 +86,7 @@ def columns_of(link: Link) -> list[str]:
     return [f"{link.column}_date"] if link.dimension in DATES else [f"{link.column}_time"] if link.dimension in TIMES else [link.column]
 
 
-def load(spark: SparkSession, specs: list[Table], tables: dict[str, DataFrame], events: DataFrame, audit_ts, parts: int = 8, name: Callable[[str], str] | None = None) -> Loaded:
+def load(spark: SparkSession, specs: list[Table], tables: dict[str, DataFrame], events: DataFrame, audit_ts, parts: int | None = None, name: Callable[[str], str] | None = None) -> Loaded:
     """The tables after a load, and the rejected events with their errors."""
     by_name = {t.name: t for t in specs}
     rejected = [_reject(events.where("type is null or type not in ('fact', 'dimension', 'delete') or (type <> 'delete' and table is null)"), "invalid event")]
@@ -148,7 +148,7 @@ def _checked(rows: DataFrame, spec: Table) -> tuple[DataFrame, DataFrame]:
     return typed, wrong.unionByName(odd)
 
 
-def _imported(before: DataFrame, own: DataFrame, gone: DataFrame, spec: Table, audit_ts, parts: int) -> DataFrame:
+def _imported(before: DataFrame, own: DataFrame, gone: DataFrame, spec: Table, audit_ts, parts: int | None) -> DataFrame:
     """A table after its folded events: deletes by the only key column are part of the fold, others come after it."""
     keys = spec.natural_key
     columns = [f.name for f in spec.fields if not f.sk and f.name not in keys]

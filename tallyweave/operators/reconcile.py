@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyweave.functions.hashing import canonical, checksum_of, row_hash, widened, word
-from tallyweave.session import cut
+from tallyweave.session import cut, tasks
 
 SUMS = [f"sum{k}" for k in range(1, 5)]
 
@@ -65,13 +65,13 @@ def buckets_by(df: DataFrame, key: str, width: int) -> Column:
     return F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 4), 16, 10).cast("long")
 
 
-def nibbles(df: DataFrame, key: str, limit: int, parts: int = 16) -> DataFrame:
+def nibbles(df: DataFrame, key: str, limit: int, parts: int | None = None) -> DataFrame:
     """(bucket, start, end, qty) for pages of `limit` rows in id order, each page as a range.
 
-    Ids are dealt by range, and numbered within each part after those of the parts before: however sparse they are, the one
+    Ids are dealt into `parts` ranges (None: as many as the session's shuffles have), and numbered within each part after those of the parts before: however sparse they are, the one
     window over all has a row for each part only.
     """
-    rows = cut(df.select(F.col(key).alias("id")).repartitionByRange(parts, "id").withColumn("__part", F.spark_partition_id()))
+    rows = cut(df.select(F.col(key).alias("id")).repartitionByRange(parts or tasks(df.sparkSession), "id").withColumn("__part", F.spark_partition_id()))
     counts = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     before = counts.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     own = Window.partitionBy("__part").orderBy("id")

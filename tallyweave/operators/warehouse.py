@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tallyweave.functions.nested import flat, nest
 from tallyweave.functions.scalars import UNKNOWN_KEY, date_key, fk_column, time_key
 from tallyweave.functions.validation import Table, spark_type
-from tallyweave.session import cut
+from tallyweave.session import cut, tasks
 
 FIRST_KEY = 10000
 START, END = "1900-01-01 00:00:00", "9999-01-01 00:00:00"
@@ -80,26 +80,24 @@ def soft_delete_dimension(dim: DataFrame, ids: DataFrame, key: str, audit_ts: da
     return hit.withColumn("_enddate", F.when(ends, _ts(audit_ts)).otherwise(F.col("_enddate"))).withColumn("_current", F.col("_current") & ~ends).select(*dim.columns)
 
 
-def next_keys(rows: DataFrame, order: list[str], base: int, sk: str, parts: int | None = 8) -> DataFrame:
+def next_keys(rows: DataFrame, order: list[str], base: int, sk: str, parts: int | None = None) -> DataFrame:
     """`rows` with keys base+1, base+2, .. by the order of their natural keys.
 
-    With `parts` (None: one task for all), numbers run within ranges of the order and start after the ranges before, so that many tasks share
-    the work; the result is the same.
+    Numbers run within `parts` ranges of the order (None: as many as the session's shuffles have) and start after the ranges
+    before, so that many tasks share the work; the result is the same for any number of them.
     """
-    if not parts:
-        return rows.withColumn(sk, (F.row_number().over(Window.orderBy(*order)) + F.lit(base)).cast("long"))
-    ranged = cut(rows.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()))
+    ranged = cut(rows.repartitionByRange(parts or tasks(rows.sparkSession), *order).withColumn("__part", F.spark_partition_id()))
     counts = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     before = counts.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     own = Window.partitionBy("__part").orderBy(*order)
-    return ranged.join(before, "__part").withColumn(sk, (F.lit(base) + F.col("__before") + F.row_number().over(own)).cast("long")).select(*rows.columns, sk)
+    return ranged.join(F.broadcast(before), "__part").withColumn(sk, (F.lit(base) + F.col("__before") + F.row_number().over(own)).cast("long")).select(*rows.columns, sk)
 
 
 def max_key(dim: DataFrame, sk: str) -> int:
     return dim.agg(F.coalesce(F.max(sk), F.lit(FIRST_KEY)).alias("k")).first()["k"]
 
 
-def scd_load(dim: DataFrame, staged: DataFrame, table: Table, audit_ts: datetime | str, parts: int | None = 8) -> DataFrame:
+def scd_load(dim: DataFrame, staged: DataFrame, table: Table, audit_ts: datetime | str, parts: int | None = None) -> DataFrame:
     """The dimension after loading at most one staged row for each natural key.
 
     Values that are null or absent in staging stay as they are and are no change. Type 1 overwrites all versions; type 2
@@ -165,7 +163,7 @@ def scd_load(dim: DataFrame, staged: DataFrame, table: Table, audit_ts: datetime
     return old.unionByName(rows.select(*dim.columns))
 
 
-def missing_members(dim: DataFrame, fact: DataFrame, keys: dict[str, str], sk: str, audit_ts: datetime | str, parts: int | None = 8) -> DataFrame:
+def missing_members(dim: DataFrame, fact: DataFrame, keys: dict[str, str], sk: str, audit_ts: datetime | str, parts: int | None = None) -> DataFrame:
     """The dimension with a placeholder for each key that facts have and it lacks. `keys` maps dimension to fact columns.
 
     Keys with a null part have no member: they link to the unknown one.

@@ -81,6 +81,11 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tasks(spark: SparkSession) -> int:
+    """Tasks of a shuffle as the session sets them: what operators that deal rows by range divide their work into."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder's name in the shared folder; what is written there goes when the driver ends."""
     path = f"{shared_folder(spark)}/tallyweave-{os.getpid()}-{uuid.uuid4().hex}"
