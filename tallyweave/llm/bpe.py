@@ -27,6 +27,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from tallyweave.llm.textkernel import with_text
+
 #: Words and pairs kept per worker, some 40 MB each; beyond it the tables start afresh.
 KEPT_WORDS = 200_000
 _END = "</w>"
@@ -287,10 +289,8 @@ def encode(docs: DataFrame, path: str, keep: list[str], text: str = "text", want
 
     One pass over the text without a shuffle. Names in `want` replace kept columns of the same name.
     """
-    keep = [c for c in keep if c not in want]
     kinds = {"n_tokens": ("long", pa.int64()), "ids": ("array<int>", pa.list_(pa.int32())), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string()), "decoded": ("string", pa.string())}
-    source = docs.select(*keep, docs[text].alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]] + [f"{w} {kinds[w][0]}" for w in want])
+    source, schema = with_text(docs, keep, text, {w: kinds[w][0] for w in want})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)

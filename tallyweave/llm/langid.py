@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweave.llm.textkernel import LETTER, UPPER, chunked, classes, code_points, letters
+from tallyweave.llm.textkernel import LETTER, UPPER, chunked, classes, code_points, letters, with_text
 
 PROFILE_SIZE = 300
 UNKNOWN = "und"
@@ -144,9 +144,7 @@ def _rows(name: str, counted: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
 
 def identify(docs: DataFrame, model: Profiles, keep: list[str], text: str = "text") -> DataFrame:
     """Columns `keep`, lang_pred and score. One pass without a shuffle; the broadcast model is PROFILE_SIZE n-grams a language."""
-    kept = [c for c in keep if c not in ("lang_pred", "score")]
-    source = docs.select(*kept, docs[text].alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]] + ["lang_pred string, score double"])
+    source, schema = with_text(docs, keep, text, {"lang_pred": "string", "score": "double"})
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

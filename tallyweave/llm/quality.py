@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweave.llm.textkernel import Tokens, Words, chunked, mix
+from tallyweave.llm.textkernel import Tokens, Words, chunked, mix, with_text
 from tallyweave.session import cut
 
 #: Bound of the labelled rows that a model is fitted on.
@@ -171,9 +171,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
 
 def scored(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """Columns `keep` and score. One pass without a shuffle; the broadcast weights have a fixed size."""
-    kept = [c for c in keep if c != "score"]
-    source = docs.select(*kept, docs[text].alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]] + ["score double"])
+    source, schema = with_text(docs, keep, text, {"score": "double"})
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,5 @@
-"""Vectorised text kernels: code points, character classes, word hashes and n-grams of many texts at once.
+"""Vectorised text kernels: code points, character classes, word hashes and n-grams of many texts at once; and the columns
+that operators over whole texts carry along.
 
 Everything works on chunks of a bounded number of characters; only a single text longer than the bound makes a
 longer chunk. Hashes depend on the characters alone, so every worker and every rerun gets the same ones.
@@ -11,6 +12,8 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 #: Characters worked on at once.
 CHUNK_CHARS = 1 << 19
@@ -152,3 +155,23 @@ class Tokens:
         keep[self.begins] = True
         at = np.cumsum(keep)
         return span_hashes(symbol[keep], at[self.begins] - 1, at[self.ends - 1])
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """`name`, with as many underscores before it as it takes to be no column's name in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def with_text(docs: DataFrame, keep: list[str], text: str, results: dict[str, str]) -> tuple[DataFrame, T.StructType]:
+    """(the columns `keep` and the text last, the schema of what is kept and the results by name and type).
+
+    Kept columns give way to results of the same name in any case; the text's column has a name that none of them has.
+    """
+    own = {name.lower() for name in results}
+    kept = [f"`{c.replace('`', '``')}`" for c in keep if c.lower() not in own]
+    source = docs.select(*kept, docs[text].alias(unused("__text", docs.columns)))
+    ends = [T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in results.items()]
+    return source, T.StructType([T.StructField(f.name, f.dataType) for f in source.schema.fields[:-1]] + ends)

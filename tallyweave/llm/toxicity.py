@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm.textkernel import Tokens, chunked
+from tallyweave.llm.textkernel import Tokens, chunked, with_text
 from tallyweave.session import cut
 
 #: Bound of the labelled rows to learn from.
@@ -423,9 +423,7 @@ def _fit_curve(points: list[tuple]) -> tuple[float, float, float]:
 
 def scored(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """Columns `keep` and score. One pass without a shuffle; lexicon and exempt forms are bounded."""
-    kept = [c for c in keep if c != "score"]
-    source = docs.select(*kept, docs[text].alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]] + ["score double"])
+    source, schema = with_text(docs, keep, text, {"score": "double"})
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
