@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweave.llm import bpe, mixing, neardup, pii, quality, registry
+from tallyweave.llm.textkernel import unused
 from tallyweave.session import cut, ship
 
 
@@ -13,21 +14,24 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the classifier accepts (score of 0.7 or more)."""
     ship(spark)
     model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.scored(docs, model, docs.columns).where("score >= 0.7").select(*docs.columns)
+    # the row as one column, which no score of its own can clash with
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return quality.scored(rows, model, ["row"]).where("score >= 0.7").select("row.*")
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate class: the one with the least id, of equal ids that with the least digest of its text;
     a row without an id only where the whole class has none. Rows without text stay, one for each id they have."""
     # written once, so that a row's key is the same at every reading; texts are moved once more only, by that key
-    rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()))
-    classes = neardup.classes(rows, key="__row").select(F.col("id").alias("__row"), F.col("class_id").alias("__class"))
-    slim = cut(rows.select("__row", "doc_id", F.md5("text").alias("digest")))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "__row")
+    row = unused("__row", docs.columns)
+    rows = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    classes = neardup.classes(rows, key=row).select(F.col("id").alias(row), F.col("class_id").alias("__class"))
+    slim = cut(rows.select(row, "doc_id", F.md5("text").alias("digest")))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", row)
     no_text = F.when(F.col("digest").isNull(), F.col("doc_id"))
     one = F.when(no_text.isNotNull(), F.concat(F.lit("null "), no_text.cast("string"))).otherwise(F.col("__class").cast("string"))
-    heads = slim.join(classes, "__row").groupBy(one.alias("__one")).agg(F.min(order)["__row"].alias("__row"))
-    return rows.join(heads, "__row", "left_semi").select(*docs.columns)
+    heads = slim.join(classes, row).groupBy(one.alias("__one")).agg(F.min(order)[row].alias(row))
+    return rows.join(heads, row, "left_semi").select(*docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
