@@ -171,7 +171,7 @@ def with_text(docs: DataFrame, keep: list[str], text: str, results: dict[str, st
     Kept columns give way to results of the same name in any case; the text's column has a name that none of them has.
     """
     own = {name.lower() for name in results}
-    kept = [f"`{c.replace('`', '``')}`" for c in keep if c.lower() not in own]
+    kept = [c for c in keep if c.lower() not in own]
     source = docs.select(*kept, docs[text].alias(unused("__text", docs.columns)))
     ends = [T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in results.items()]
     return source, T.StructType([T.StructField(f.name, f.dataType) for f in source.schema.fields[:-1]] + ends)

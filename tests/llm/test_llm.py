@@ -428,16 +428,47 @@ def test_toxicity_of_awkward_rows(spark):
     assert toxicity.scored(awkward(spark), ones, ["doc_id"]).where("score < 0.9").isEmpty()
 
 
-@pytest.mark.parametrize("make", [awkward, none])
+CLASHES = ["score", "Lang_Pred", "class_id", "same", "label", "size", "target", "taken", "N_tokens", "ids", "u", "of", "bands", "row", "__row", "__text", "__class", "__same", "__key", "__out"]
+
+
+def clashing(spark):
+    """The awkward rows with columns named like those that operators make."""
+    return awkward(spark).withColumns({c: F.lit(f"own {c}") for c in CLASHES})
+
+
+@pytest.mark.parametrize("make", [awkward, none, clashing])
 def test_pipeline_stages_bear_awkward_rows(spark, make, tmp_path):
     import corpus_pipeline
 
-    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(4, 1), (6, 1), (2, 0), (None, 0), (3, None)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
     docs = make(spark)
-    for _, stage in corpus_pipeline.STAGES[1:4]:
+    for _, stage in corpus_pipeline.STAGES[:4]:
         out = stage(spark, docs, str(tmp_path))
         assert out.columns == docs.columns
-        out.count()
+        for r in out.collect():
+            assert all(r[c] == f"own {c}" for c in CLASHES if c in docs.columns)
+    out = corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path))
+    assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and out.count() == docs.count()
+
+
+def test_kept_columns_of_any_name(spark):
+    docs = clashing(spark)
+    languages, curve = langid.learn(docs), quality.learn(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    for got, own in ((bpe.encode(docs, registry.TOKENIZER, docs.columns), {"n_tokens", "ids"}), (langid.identify(docs, languages, docs.columns), {"lang_pred", "score"}), (quality.scored(docs, curve, docs.columns), {"score"})):
+        kept = [c for c in docs.columns if c.lower() not in own]
+        assert got.columns[: len(kept)] == kept and set(got.columns[len(kept) :]) == own
+        rows = got.collect()
+        assert len(rows) == 8 and all(r[c] == f"own {c}" for r in rows for c in CLASHES if c in kept)
+
+
+@pytest.mark.parametrize("make", [awkward, none, clashing])
+def test_recordings_of_awkward_rows(spark, make):
+    docs = make(spark)
+    got = audio.groups(docs, F.col("id") % 2 == 0, "doc_id", F.encode("text", "UTF-8")).collect()
+    assert len(got) == docs.count()
+    if got:
+        shared = {r.class_id for r in got if r.id in (4, 5)}
+        assert len(shared) == 1 and sum(r.class_id in shared for r in got) == 3
 
 
 def test_components_are_the_same_in_both_ways(spark, monkeypatch):
