@@ -169,15 +169,15 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
     return fit([np.frombuffer(r["found"], dtype="<i4") for r in rows], np.array([r["label"] for r in rows], dtype=np.int64))
 
 
-def scored(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns `keep` and score. One pass without a shuffle; the broadcast weights have a fixed size."""
-    source, schema = with_text(docs, keep, text, {"score": "double"})
+def scored(docs: DataFrame, model: Model, keep: list[str], text: str = "text", score: str = "score") -> DataFrame:
+    """Columns `keep` and the score under the name `score`. One pass without a shuffle; the broadcast weights have a fixed size."""
+    source, schema = with_text(docs, keep, text, {score: "double"})
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in chunked(batch.column(batch.num_columns - 1).to_pylist()):
                 part = batch.slice(at, len(texts))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([shared.value.score(f) for f in features(texts)], pa.float64())], names=[*batch.schema.names[:-1], "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([shared.value.score(f) for f in features(texts)], pa.float64())], names=[*batch.schema.names[:-1], score])
 
     return source.mapInArrow(run, schema)
