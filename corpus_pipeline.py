@@ -14,9 +14,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the classifier accepts (score of 0.7 or more)."""
     ship(spark)
     model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    # the row as one column, which no score of its own can clash with
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return quality.scored(rows, model, ["row"]).where("score >= 0.7").select("row.*")
+    score = unused("score", docs.columns)
+    return quality.scored(docs, model, docs.columns, score=score).where(F.col(score) >= 0.7).select(*docs.columns)
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
